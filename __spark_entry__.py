@@ -24,6 +24,16 @@ from clickloom.streaming import land_stream
 # Rows per batch in the queries below: 10,000 would make one batch of the small test tables.
 BATCH_ROWS = 300
 
+# The model queries cut the table, whatever its size, into 33 batches and a remainder and
+# divide them among the models. Over long ranges every visitor buys something, so the
+# predictor's is short, to have both labels.
+MODEL_BATCHES = 33
+MODEL_RANGES = {
+    "recommender": (1, 15),
+    "transaction_predictor": (16, 18),
+    "user_segmentation": (19, 33),
+}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the transaction features of every visitor."""
@@ -57,9 +67,9 @@ def read_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_batch_files(spark, _batch_files(spark, sf_dir), 2, 30)
 
 
-def _landed(spark: SparkSession, sf_dir: str) -> str:
+def _landed(spark: SparkSession, sf_dir: str, size: int = BATCH_ROWS) -> str:
     path = scratch_path(spark, "landed")
-    sources.land_batches(clickstream(spark, sf_dir, ["event_id"]), path, "event_id", BATCH_ROWS)
+    sources.land_batches(clickstream(spark, sf_dir, ["event_id"]), path, "event_id", size)
     return path
 
 
@@ -153,9 +163,12 @@ def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visitor_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = transaction_features(spark, sf_dir).select("visitorid", "num_views", "num_addtocart")
-    totals = ops.segment_counts(clickstream(spark, sf_dir)).select("visitorid", "total_events")
-    return features.join(totals, "visitorid")
+    return ops.segment_counts(clickstream(spark, sf_dir)).select(
+        "visitorid",
+        "total_events",
+        F.col("total_views").alias("num_views"),
+        F.col("total_addtocart").alias("num_addtocart"),
+    )
 
 
 def distinct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +234,11 @@ def scaled_segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
+def _landed_for_models(spark: SparkSession, sf_dir: str) -> Callable[[int, int], DataFrame]:
+    rows = clickstream(spark, sf_dir).count()
+    return partial(sources.read_batches, spark, _landed(spark, sf_dir, rows // MODEL_BATCHES))
+
+
 def recommend_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five items for every visitor of the table, and none for one it does not have."""
     events = clickstream(spark, sf_dir)
@@ -234,11 +252,8 @@ def explode_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def score_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every visitor of the table, by a forest trained on an early range of batches.
-
-    Over the whole table each visitor has bought something; on a range, labels differ.
-    """
-    trained_on = sources.read_batches(spark, _landed(spark, sf_dir), 4, 6)
+    """Every visitor of the table, by a forest trained on its range of batches."""
+    trained_on = _landed_for_models(spark, sf_dir)(*MODEL_RANGES["transaction_predictor"])
     model = plans.fit_transaction_predictor(ops.transaction_features(trained_on))
     return ops.score_transactions(model, transaction_features(spark, sf_dir))
 
@@ -249,23 +264,16 @@ def segment_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three models from three ranges of landed batches, saved, loaded and used on every visitor."""
-    read_range = partial(sources.read_batches, spark, _landed(spark, sf_dir))
+    """The three models from their ranges of landed batches, saved, loaded and used on every visitor."""
     store = scratch_path(spark, "models")
-    ranges = {"recommender": (1, 3), "transaction_predictor": (4, 6), "user_segmentation": (7, 9)}
-    plans.train_all(read_range, store, ranges)
+    plans.train_all(_landed_for_models(spark, sf_dir), store, MODEL_RANGES)
     models, _ = sources.load_models(store)
 
     events = clickstream(spark, sf_dir)
     features = ops.transaction_features(events).join(ops.segment_features(events), "visitorid")
-    scored = features
-    if "transaction_predictor" in models:
-        scored = ops.score_transactions(models["transaction_predictor"], scored)
-    if "user_segmentation" in models:
-        scored = ops.segment_users(models["user_segmentation"], scored)
-    if "recommender" in models:
-        scored = ops.recommend(models["recommender"], scored, 3)
-    return scored
+    scored = ops.score_transactions(models["transaction_predictor"], features)
+    scored = ops.segment_users(models["user_segmentation"], scored)
+    return ops.recommend(models["recommender"], scored, 3)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -24,7 +24,7 @@ def _per_visitor(df: DataFrame, null_visitors: str, **aggregates: Column) -> Dat
     if null_visitors not in ("as_zero", "drop"):
         raise ValueError(f"null_visitors must be 'as_zero' or 'drop', not {null_visitors!r}")
     if null_visitors == "drop":
-        df = df.dropna(subset=["visitorid"])
+        df = df.filter(F.col("visitorid").isNotNull())
     grouped = df.groupBy("visitorid").agg(*[column.alias(name) for name, column in aggregates.items()])
     return grouped.fillna(0)
 

@@ -91,9 +91,10 @@ def fit_transaction_predictor(features: DataFrame, seed: int = SEED) -> Pipeline
 def fit_segments(features: DataFrame, k: int = 5, seed: int = 1) -> PipelineModel | None:
     """Scaled behaviour into k-means; ``None`` when there are no visitors.
 
-    Fewer than ``k`` distinct points give fewer clusters.
+    Fewer than ``k`` distinct points give fewer clusters; the block solver, which Spark may
+    otherwise choose, fails on them.
     """
-    kmeans = KMeans(featuresCol="features", k=k, seed=seed)
+    kmeans = KMeans(featuresCol="features", k=k, seed=seed, solver="row")
     return _fit(features, Pipeline(stages=[assembler(SEGMENT_FEATURES, "skip"), scaler(), kmeans]))
 
 

@@ -1,0 +1,46 @@
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from clickloom.functions import (
+    batch_file_name,
+    event_weight,
+    positive_probability,
+    restored_id,
+    safe_ratio,
+)
+
+
+def test_weight_of_each_event_type(spark):
+    df = spark.createDataFrame([(e,) for e in ["view", "addtocart", "transaction", "signup", None]], "event string")
+    assert [r[0] for r in df.select(event_weight()).collect()] == [1.0, 3.0, 5.0, 0.0, 0.0]
+
+
+def test_weights_can_be_given(spark):
+    df = spark.createDataFrame([("view",), ("like",)], "kind string")
+    assert [r[0] for r in df.select(event_weight(F.col("kind"), {"like": 2})).collect()] == [0.0, 2.0]
+
+
+def test_ratio_of_nothing_is_zero(spark):
+    df = spark.createDataFrame([(3, 2), (3, 0), (0, 5), (3, None)], "n long, d long")
+    assert [r[0] for r in df.select(safe_ratio("n", "d")).collect()] == [1.5, 0.0, 0.0, 0.0]
+
+
+def test_id_spellings(spark):
+    texts = ["4000.0", "4000", "NaN", "", None, "4.0E3", "9007199254740993", "abc"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(restored_id("t")).collect()] == [
+        4000, 4000, None, None, None, 4000, 9007199254740993, None,
+    ]
+
+
+def test_probability_with_one_class(spark):
+    rows = [(Vectors.dense([1.0]),), (Vectors.dense([0.25, 0.75]),), (Vectors.dense([0.0, 1.0]),)]
+    df = spark.createDataFrame(rows, ["probability"])
+    assert [r[0] for r in df.select(positive_probability()).collect()] == [0.0, 0.75, 1.0]
+
+
+def test_batch_names(spark):
+    df = spark.createDataFrame([(7, False), (8, True), (1234, False)], "batch_no long, is_final boolean")
+    assert [r[0] for r in df.select(batch_file_name()).collect()] == [
+        "batch_007.csv", "batch_008_final.csv", "batch_1234.csv",
+    ]
