@@ -25,7 +25,8 @@ from clickloom.functions import batch_file_name
 from clickloom.schema import BATCH_SIZE
 
 _KEYS = ["_bucket", "_tie_bucket"]
-_BUCKETS_PER_PARTITION = 4
+_BUCKETS_PER_PARTITION = 8
+_SAMPLES_PER_BUCKET = 100
 _EXACT_DOUBLE = 2.0**53
 
 
@@ -99,8 +100,9 @@ def _with_buckets(df: DataFrame, order: list[str]) -> DataFrame:
     of its own, and that bucket is split again by the quantiles of the tie-break.
     """
     buckets = _BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, _SAMPLES_PER_BUCKET * buckets / max(1, df.count()))
     keyed = df.withColumn("_lead", _order_key(order[0]))
-    cuts = _quantiles(keyed, "_lead", buckets)
+    cuts = _cuts(keyed, "_lead", buckets, share)
     hot = []
     if len(order) == 2:
         hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT_DOUBLE})
@@ -111,7 +113,7 @@ def _with_buckets(df: DataFrame, order: list[str]) -> DataFrame:
 
     keyed = keyed.withColumn("_tie", _order_key(order[1]))
     is_hot = F.col("_lead").isin(hot)
-    tie_cuts = _quantiles(keyed.filter(is_hot), "_tie", buckets)
+    tie_cuts = _cuts(keyed.filter(is_hot), "_tie", buckets, share)
     return (
         _bucketize(keyed, "_tie", "_split", set(tie_cuts))
         .withColumn("_tie_bucket", F.when(is_hot, F.col("_split")).otherwise(F.lit(0.0)))
@@ -119,9 +121,17 @@ def _with_buckets(df: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def _quantiles(df: DataFrame, column: str, parts: int) -> list[float]:
-    """Inner boundaries of ``parts`` near equal parts; how near affects balance, not results."""
-    return df.approxQuantile(column, [i / parts for i in range(1, parts)], 0.5 / parts)
+def _cuts(df: DataFrame, column: str, parts: int, share: float) -> list[float]:
+    """Inner boundaries of ``parts`` near equal parts, from a share of the keys.
+
+    Like the boundaries of a range partitioning they come from a sample, whose size depends
+    on ``parts`` alone: quantiles are merged in one task. A sample decides only how evenly
+    the buckets are filled; every row is put into one and numbered.
+    """
+    keys = df.select(column)
+    if share < 1.0:
+        keys = keys.sample(share, seed=0)
+    return keys.approxQuantile(column, [i / parts for i in range(1, parts)], 0.25 / parts)
 
 
 def _bucketize(df: DataFrame, column: str, output: str, inner: set[float]) -> DataFrame:

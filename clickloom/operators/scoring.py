@@ -6,6 +6,10 @@ recommending joins and ranks, and is for batch input.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
@@ -20,18 +24,35 @@ MIN_RECOMMENDATIONS, MAX_RECOMMENDATIONS, DEFAULT_RECOMMENDATIONS = 1, 20, 5
 
 _RECS = "array<struct<itemid:int,rating:float>>"
 
+# Item factors up to this size are sent to every executor; larger ones stay distributed.
+BROADCAST_BYTES = 64 * 2**20
+_SCORES_AT_ONCE = 8 * 2**20
+
 
-def recommend(model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATIONS) -> DataFrame:
+def recommend(
+    model: ALSModel,
+    users: DataFrame,
+    k: int = DEFAULT_RECOMMENDATIONS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """Each row of ``users`` with its ``k`` best items, best first, in ``recommendations``.
 
     Items a visitor already had are not left out. A visitor the model does not know gets
-    an empty array. Only the visitors asked for are scored.
+    an empty array. Only the visitors asked for are scored, each once.
+
+    Item factors within ``broadcast_bytes`` are broadcast and each visitor is ranked where
+    its factors are. With more items the model ranks block by block, which pairs every
+    block of visitors with every block of items and merges the best of each pair.
     """
     if not MIN_RECOMMENDATIONS <= k <= MAX_RECOMMENDATIONS:
         raise ValueError(f"k must be {MIN_RECOMMENDATIONS} to {MAX_RECOMMENDATIONS}, not {k}")
     user_col = model.getUserCol()
-    wanted = users.select(F.col("visitorid").try_cast("int").alias(user_col)).dropna()
-    found = model.recommendForUserSubset(wanted, k).select(
+    wanted = users.select(F.col("visitorid").try_cast("int").alias(user_col)).filter(F.col(user_col).isNotNull())
+    if model.itemFactors.count() * (model.rank + 1) * 4 <= broadcast_bytes:
+        found = _rank_in_tasks(model, wanted, k)
+    else:
+        found = model.recommendForUserSubset(wanted, k)
+    found = found.select(
         F.col(user_col).alias("visitorid"),
         F.col("recommendations").cast(_RECS).alias("recommendations"),
     )
@@ -40,6 +61,54 @@ def recommend(model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATION
     )
 
 
+def _rank_in_tasks(model: ALSModel, wanted: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best items of each wanted visitor the model knows. Equal scores rank by item id."""
+    spark = wanted.sparkSession
+    user_col = wanted.columns[0]
+    items = model.itemFactors.toPandas().sort_values("id")
+    shared = spark.sparkContext.broadcast(
+        (items["id"].to_numpy(), np.stack(items["features"]).astype(np.float32).T)
+    )
+    rows_at_once = max(1, _SCORES_AT_ONCE // len(items))
+    k = min(k, len(items))
+
+    # all that tasks need is defined in here, so they need not import this package
+
+    def best_columns(scores: np.ndarray) -> np.ndarray:
+        n = scores.shape[1]
+        width = max(1, min(int(n**0.5), n // k))
+        maxima = np.stack([scores[:, at : at + width].max(axis=1) for at in range(0, n, width)], axis=1)
+        # k groups of columns reach the k-th largest maximum, so no smaller value is among the best k
+        least = np.partition(maxima, -k, axis=1)[:, -k]
+        row, column = np.nonzero(scores >= least[:, None])
+        column = column[np.lexsort((column, -scores[row, column], row))]
+        return column[np.searchsorted(row, np.arange(len(scores)))[:, None] + np.arange(k)]
+
+    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, factors = shared.value
+        for batch in batches:
+            for at in range(0, len(batch), rows_at_once):
+                part = batch.iloc[at : at + rows_at_once]
+                scores = np.stack(part["features"]).astype(np.float32) @ factors
+                top = best_columns(scores)
+                yield pd.DataFrame(
+                    {
+                        "id": part["id"],
+                        "itemids": list(ids[top]),
+                        "ratings": list(np.take_along_axis(scores, top, axis=1)),
+                    }
+                )
+
+    known = model.userFactors.join(wanted.distinct(), F.col("id") == F.col(user_col), "left_semi")
+    # few bytes but much work for each row: the number of tasks must not follow the bytes
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return (
+        known.repartition(tasks, "id")
+        .mapInPandas(rank, "id int, itemids array<int>, ratings array<float>")
+        .select(F.col("id").alias(user_col), F.arrays_zip("itemids", "ratings").alias("recommendations"))
+    )
+
+
 def explode_recs(recommended: DataFrame) -> DataFrame:
     """One row per visitor and rank (from 1); visitors without recommendations have none."""
     rest = [c for c in recommended.columns if c != "recommendations"]

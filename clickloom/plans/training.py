@@ -32,7 +32,7 @@ TRAINING_RANGES = {
 
 SEED = 42
 _RATINGS_PER_BLOCK = 2_000_000
-_MIN_BLOCKS = 10
+_MIN_BLOCKS, _MAX_BLOCKS = 10, 1_000
 
 
 @contextmanager
@@ -49,8 +49,11 @@ def fit_recommender(ratings: DataFrame, seed: int = SEED, blocks: int | None = N
     """Explicit-feedback ALS; ``None`` when there are no ratings.
 
     The ratings are split into ``blocks`` by visitor and by item, by default one for every
-    two million rows, though not more than there are cores: every pair of blocks
-    exchanges factors in every round.
+    two million rows, though not more than there are cores, nor more than a thousand: every
+    pair of blocks exchanges factors in every round, and is a task when recommending.
+
+    All ratings of one visitor, or of one item, are solved in one task. Where repeats make
+    that too much, ``ratings(..., dedupe="max")`` leaves one per pair.
     """
     spark = ratings.sparkSession
     ensure_checkpoints(spark)
@@ -60,7 +63,7 @@ def fit_recommender(ratings: DataFrame, seed: int = SEED, blocks: int | None = N
             return None
         if blocks is None:
             wanted = math.ceil(n_ratings / _RATINGS_PER_BLOCK)
-            blocks = max(_MIN_BLOCKS, min(wanted, spark.sparkContext.defaultParallelism))
+            blocks = max(_MIN_BLOCKS, min(wanted, spark.sparkContext.defaultParallelism, _MAX_BLOCKS))
         log.info("recommender: %d ratings in %d blocks", n_ratings, blocks)
         als = ALS(
             userCol="visitorid_int",

@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of its own: there driver and
     executors are one machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -49,6 +49,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def ensure_checkpoints(spark: SparkSession) -> None:
     """Give iterative fits a place to cut their lineage."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)

@@ -80,6 +80,25 @@ def test_recommendations_are_the_best_of_all_items(spark, observed, recommender)
         assert len({r.itemid for r in row.recommendations}) == 4
 
 
+@pytest.mark.parametrize("k", [1, 7, 20])
+def test_broadcast_and_distributed_ranking_agree(observed, recommender, k):
+    users = observed.select(F.col("visitorid_int").alias("visitorid")).distinct()
+    here = {r.visitorid: r.recommendations for r in ops.recommend(recommender, users, k).collect()}
+    there = {r.visitorid: r.recommendations for r in ops.recommend(recommender, users, k, broadcast_bytes=0).collect()}
+    assert here.keys() == there.keys()
+    for visitor, best in here.items():
+        assert len(best) == k
+        assert [r.rating for r in best] == pytest.approx([r.rating for r in there[visitor]], rel=1e-4)
+        assert [r.rating for r in best] == sorted((r.rating for r in best), reverse=True)
+
+
+def test_fewer_items_than_asked_for(spark, events):
+    df = events((1, 1, "view", 7), (2, 1, "transaction", 8, 5), (3, 2, "view", 7), (4, 2, "addtocart", 9))
+    model = plans.fit_recommender(ops.ratings(df))
+    (row,) = ops.recommend(model, spark.createDataFrame([(1,)], "visitorid int"), 20).collect()
+    assert {r.itemid for r in row.recommendations} == {7, 8, 9}
+
+
 def test_unknown_visitor_gets_an_empty_array(spark, observed, recommender):
     known = observed.first().visitorid_int
     users = spark.createDataFrame([(known, "a"), (known, "b"), (-5, "c"), (None, "d")], "visitorid int, request string")

@@ -62,6 +62,11 @@ def test_rows_are_numbered_in_parallel(spark):
     assert df.columns == ["event_id", *EVENT_COLUMNS, "batch_no", "is_final"]
 
 
+def test_recommending_pairs_no_tables(spark):
+    plan = plan_of(entry_module.recommend_topk(spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_session_time_zone_does_not_matter(spark):
     want = entry_module.event_scan(spark, SF).collect()
     zone = spark.conf.get("spark.sql.session.timeZone")

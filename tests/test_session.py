@@ -1,0 +1,53 @@
+import pytest
+
+from clickloom.session import ensure_checkpoints, scratch_path, shared_dir
+
+
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    def __init__(self, context, **conf):
+        self.sparkContext, self.values = context, conf
+        self.conf = self
+
+    def get(self, key, default):
+        return self.values.get(key, default)
+
+
+def test_the_named_folder_is_used():
+    session = FakeSession(FakeContext("spark://host"), **{"spark.checkpoint.dir": "hdfs://shared/dir/"})
+    assert shared_dir(session) == "hdfs://shared/dir"
+    assert scratch_path(session, "a").startswith("hdfs://shared/dir/a-")
+    assert scratch_path(session, "a") != scratch_path(session, "a")
+    ensure_checkpoints(session)
+    assert session.sparkContext.folder == "hdfs://shared/dir"
+
+
+def test_a_folder_set_on_the_context_is_used():
+    assert shared_dir(FakeSession(FakeContext("yarn", "hdfs://other"))) == "hdfs://other"
+
+
+def test_a_cluster_without_a_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession(FakeContext("yarn")))
+
+
+def test_a_local_session_may_make_its_own():
+    session = FakeSession(FakeContext("local[2]"))
+    assert shared_dir(session) == shared_dir(session)
+    ensure_checkpoints(session)
+    assert session.sparkContext.folder
+
+
+def test_session_settings(spark):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
