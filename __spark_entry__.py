@@ -13,9 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom import functions as fn
 from clickloom import operators as ops
 from clickloom import plans, sources
-from clickloom.functions import event_weight, is_event
 from clickloom.schema import EVENT_COLUMNS, SEGMENT_FEATURES, TRANSACTION_FEATURES
 from clickloom.session import scratch_path
 from clickloom.sources.tables import clickstream
@@ -52,7 +52,7 @@ def event_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file whose view events carry a time that is no number."""
     path = scratch_path(spark, "broken-csv")
-    broken = F.when(is_event("view"), F.lit("soon")).otherwise(F.col("timestamp").cast("string"))
+    broken = F.when(fn.is_event("view"), F.lit("soon")).otherwise(F.col("timestamp").cast("string"))
     clickstream(spark, sf_dir).withColumn("timestamp", broken).write.option("header", True).csv(path)
     return sources.corrupt_rows(spark, path)
 
@@ -117,14 +117,14 @@ def _with_gaps(events: DataFrame) -> DataFrame:
     """Events of unknown type lose their visitor or item, so that there are nulls to meet."""
     return events.withColumns(
         {
-            "visitorid": F.when(~is_event("signup"), F.col("visitorid")),
-            "itemid": F.when(~is_event("error"), F.col("itemid")),
+            "visitorid": F.when(~fn.is_event("signup"), F.col("visitorid")),
+            "itemid": F.when(~fn.is_event("error"), F.col("itemid")),
         }
     )
 
 
-def weighted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clickstream(spark, sf_dir).withColumn("weight", event_weight("event"))
+def event_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clickstream(spark, sf_dir).withColumn("weight", fn.event_weight("event"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,7 +290,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             stream_landing,
             known_events,
             keyed_events,
-            weighted_events,
+            event_weight,
             ratings,
             ratings_deduped,
             merge_batches,
@@ -414,7 +414,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_FIVE} FROM clicks WHERE event IN ('view', 'addtocart', 'transaction')""",
         "keyed_events": f"""WITH {_EVENTS}, {_GAPS}
             SELECT * FROM gaps WHERE visitorid IS NOT NULL AND itemid IS NOT NULL""",
-        "weighted_events": f"WITH {_EVENTS} SELECT {_FIVE}, {_WEIGHT} AS weight FROM clicks",
+        "event_weight": f"WITH {_EVENTS} SELECT {_FIVE}, {_WEIGHT} AS weight FROM clicks",
         "ratings": f"""WITH {_EVENTS}
             SELECT visitorid AS visitorid_int, itemid AS itemid_int, {_WEIGHT} AS rating FROM clicks
             WHERE {_WEIGHT} > 0 AND visitorid IS NOT NULL AND itemid IS NOT NULL""",

@@ -8,9 +8,16 @@ from clickloom.operators.features import (
 from clickloom.operators.filters import known_events, merge_batches, with_keys
 from clickloom.operators.ratings import ratings
 from clickloom.operators.scaling import assembled_features, scaled_features
-from clickloom.operators.scoring import explode_recs, recommend, score_transactions, segment_users
+from clickloom.operators.scoring import (
+    DEFAULT_RECOMMENDATIONS,
+    explode_recs,
+    recommend,
+    score_transactions,
+    segment_users,
+)
 
 __all__ = [
+    "DEFAULT_RECOMMENDATIONS",
     "assembled_features",
     "assign_batches",
     "batch_summary",

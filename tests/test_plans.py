@@ -10,7 +10,7 @@ from clickloom.sources.tables import clickstream
 
 SF = f"{TESTDATA}/sf0.01"
 RELATIONAL = [
-    "known_events", "keyed_events", "weighted_events", "ratings", "ratings_deduped", "merge_batches",
+    "known_events", "keyed_events", "event_weight", "ratings", "ratings_deduped", "merge_batches",
     "assign_batches", "assign_batches_by_kind", "batch_summary", "visitor_counts", "distinct_items",
     "transaction_label", "transaction_features", "segment_counts", "segment_features", "encode_events",
     "decode_events",

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from clickloom import operators as ops
 from clickloom import plans, sources
-from clickloom.schema import TRANSACTION_FEATURES
+from clickloom.schema import SEGMENT_COUNTS, TRANSACTION_FEATURES
 from clickloom.sources import landed
 from clickloom.streaming import land_stream
 
@@ -104,19 +104,32 @@ def test_new_checkpoint_does_not_overwrite(spark, topic, tmp_path):
     assert landed_rows(spark, path) == expected(50, 100)
 
 
-def test_scoring_a_stream(spark, tmp_path):
+@pytest.fixture
+def streamed(spark, tmp_path):
+    """Run a frame through an operator as a stream; give the rows that come out."""
+
+    def run(rows, operator, name):
+        rows.write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / name))
+        query = operator(stream).writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sorted(spark.table(name).collect())
+
+    return run
+
+
+def test_predicting_on_a_stream(spark, streamed):
     rows = [(i, i % 9, i % 4, i % 5, int(i % 9 > 4)) for i in range(60)]
     features = spark.createDataFrame(rows, f"visitorid int, {' long, '.join(TRANSACTION_FEATURES)} long, has_transaction int")
     model = plans.fit_transaction_predictor(features)
     requests = features.drop("has_transaction")
-    requests.write.parquet(str(tmp_path / "requests"))
-    stream = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "requests"))
-    query = (
-        ops.score_transactions(model, stream)
-        .writeStream.format("memory")
-        .queryName("scored_requests")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    assert sorted(spark.table("scored_requests").collect()) == sorted(ops.score_transactions(model, requests).collect())
+    got = streamed(requests, lambda df: ops.score_transactions(model, df), "predict_requests")
+    assert got == sorted(ops.score_transactions(model, requests).collect())
+
+
+def test_segmenting_on_a_stream(spark, streamed):
+    rows = [(i, 10 + i % 7, i % 5, i % 3, i % 2) for i in range(60)]
+    counts = spark.createDataFrame(rows, f"visitorid int, {' long, '.join(SEGMENT_COUNTS)} long")
+    model = plans.fit_segments(ops.with_segment_ratios(counts))
+    got = streamed(counts, lambda df: ops.segment_users(model, df), "segment_requests")
+    assert got == sorted(ops.segment_users(model, counts).collect())
