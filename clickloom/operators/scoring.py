@@ -26,7 +26,7 @@ _RECS = "array<struct<itemid:int,rating:float>>"
 
 # Item factors up to this size are sent to every executor; larger ones stay distributed.
 BROADCAST_BYTES = 64 * 2**20
-_SCORES_AT_ONCE = 8 * 2**20
+_SCORES_AT_ONCE = 4 * 2**20
 
 
 def recommend(
@@ -48,7 +48,7 @@ def recommend(
         raise ValueError(f"k must be {MIN_RECOMMENDATIONS} to {MAX_RECOMMENDATIONS}, not {k}")
     user_col = model.getUserCol()
     wanted = users.select(F.col("visitorid").try_cast("int").alias(user_col)).filter(F.col(user_col).isNotNull())
-    if model.itemFactors.count() * (model.rank + 1) * 4 <= broadcast_bytes:
+    if model.itemFactors.count() * (model.rank + 1) * 8 <= broadcast_bytes:
         found = _rank_in_tasks(model, wanted, k)
     else:
         found = model.recommendForUserSubset(wanted, k)
@@ -67,7 +67,7 @@ def _rank_in_tasks(model: ALSModel, wanted: DataFrame, k: int) -> DataFrame:
     user_col = wanted.columns[0]
     items = model.itemFactors.toPandas().sort_values("id")
     shared = spark.sparkContext.broadcast(
-        (items["id"].to_numpy(), np.stack(items["features"]).astype(np.float32).T)
+        (items["id"].to_numpy(), np.stack(items["features"]).T.astype(np.float64))
     )
     rows_at_once = max(1, _SCORES_AT_ONCE // len(items))
     k = min(k, len(items))
@@ -89,13 +89,14 @@ def _rank_in_tasks(model: ALSModel, wanted: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), rows_at_once):
                 part = batch.iloc[at : at + rows_at_once]
-                scores = np.stack(part["features"]).astype(np.float32) @ factors
+                # in doubles, so that a rating does not depend on which rows are scored together
+                scores = np.stack(part["features"]).astype(np.float64) @ factors
                 top = best_columns(scores)
                 yield pd.DataFrame(
                     {
                         "id": part["id"],
                         "itemids": list(ids[top]),
-                        "ratings": list(np.take_along_axis(scores, top, axis=1)),
+                        "ratings": list(np.take_along_axis(scores, top, axis=1).astype(np.float32)),
                     }
                 )
 

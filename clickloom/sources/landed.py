@@ -77,7 +77,10 @@ def land_epoch(
     writer: str,
     batches_per_slice: int = BATCHES_PER_SLICE,
 ) -> None:
-    """Land ``df`` as one epoch; doing so again with the same rows changes nothing."""
+    """Land ``df`` as one epoch; doing so again with the same rows changes nothing.
+
+    ``df`` is computed more than once and must give the same rows each time.
+    """
     spark = df.sparkSession
     epochs = _logged_epochs(spark, path)
     taken = [e for e in epochs if e >= epoch]
@@ -103,10 +106,15 @@ def land_epoch(
         .parquet(target)
     )
     landed = spark.read.schema(_LANDED_SCHEMA).parquet(target).count()
-    entry = [(before + landed, size, batches_per_slice, writer)]
-    spark.createDataFrame(entry, _LOG_SCHEMA).coalesce(1).write.mode("overwrite").json(
-        f"{path}/log/epoch={epoch}"
-    )
+    entry = {
+        "total_rows": before + landed,
+        "size": size,
+        "batches_per_slice": batches_per_slice,
+        "writer": writer,
+    }
+    spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.items()]).write.mode(
+        "overwrite"
+    ).json(f"{path}/log/epoch={epoch}")
 
 
 def read_batches(

@@ -226,9 +226,13 @@ def test_training_saves_what_loads(spark, table, visitors, behaviour, tmp_path):
     for score, name, rows in [
         (ops.score_transactions, "transaction_predictor", plain),
         (ops.segment_users, "user_segmentation", behaviour),
-        (ops.recommend, "recommender", plain.select("visitorid")),
     ]:
         assert sorted(score(loaded[name], rows).collect()) == sorted(score(fitted[name], rows).collect())
+    before, after = (
+        {(r.visitorid, r.rank): r.rating for r in ops.explode_recs(ops.recommend(m["recommender"], plain)).collect()}
+        for m in (fitted, loaded)
+    )
+    assert after == pytest.approx(before, rel=1e-6)
     sources.save_model(fitted["user_segmentation"], model_path(store, "user_segmentation"))  # overwrites
 
 
