@@ -9,7 +9,8 @@ Batches may be small and many, so they have no folder of their own: a slice hold
 ``BATCHES_PER_SLICE`` of them, sorted, and a range of batches is found by partition
 pruning on the slice and row-group pruning on ``batch_no``. Readers see a landing only
 when its log entry is written. A landing that is tried again overwrites its own epoch
-folder with the same rows, so a crash neither loses nor repeats any.
+folder with the same rows, or finds itself logged and leaves it, so a crash neither loses
+nor repeats any. A table takes one writer at a time.
 """
 
 from __future__ import annotations
@@ -82,17 +83,18 @@ def land_epoch(
     ``df`` is computed more than once and must give the same rows each time.
     """
     spark = df.sparkSession
-    epochs = _logged_epochs(spark, path)
-    taken = [e for e in epochs if e >= epoch]
-    if taken and (max(taken) > epoch or _entry(spark, path, epoch).writer != writer):
-        raise ValueError(f"{path} already holds epoch {max(taken)} of another writer")
-    earlier = max((e for e in epochs if e < epoch), default=None)
+    newest = newest_entry(spark, path)
     before = 0
-    if earlier is not None:
-        last = _entry(spark, path, earlier)
-        if (last.size, last.batches_per_slice) != (size, batches_per_slice):
-            raise ValueError(f"{path} has batches of {last.size} rows, {last.batches_per_slice} to a slice")
-        before = last.total_rows
+    if newest:
+        if (newest.epoch, newest.writer) == (epoch, writer):
+            return
+        if newest.epoch >= epoch:
+            raise ValueError(f"{path} already holds epoch {newest.epoch} of another writer")
+        if (newest.size, newest.batches_per_slice) != (size, batches_per_slice):
+            raise ValueError(
+                f"{path} has batches of {newest.size} rows, {newest.batches_per_slice} to a slice"
+            )
+        before = newest.total_rows
 
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     target = f"{path}/events/epoch={epoch}"
@@ -153,14 +155,11 @@ def read_batches(
 
 
 def newest_entry(spark: SparkSession, path: str) -> LogEntry | None:
-    epochs = _logged_epochs(spark, path)
-    return _entry(spark, path, max(epochs)) if epochs else None
-
-
-def _logged_epochs(spark: SparkSession, path: str) -> list[int]:
+    """The last complete log entry; a crash may leave an empty folder after it."""
     names = child_names(spark, f"{path}/log")
-    return [int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch=")]
-
-
-def _entry(spark: SparkSession, path: str, epoch: int) -> LogEntry:
-    return LogEntry(epoch, *spark.read.schema(_LOG_SCHEMA).json(f"{path}/log/epoch={epoch}").first())
+    epochs = sorted((int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch=")), reverse=True)
+    for epoch in epochs:
+        entry = spark.read.schema(_LOG_SCHEMA).json(f"{path}/log/epoch={epoch}").first()
+        if entry:
+            return LogEntry(epoch, *entry)
+    return None

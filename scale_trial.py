@@ -47,7 +47,8 @@ def shuffle_tasks(spark, first_stage: int):
     """Per finished stage since ``first_stage``: shuffle records read by all tasks, and by the largest."""
     store = spark.sparkContext._jsc.sc().statusStore()
     gateway = spark.sparkContext._gateway
-    stages = store.stageList(gateway.jvm.java.util.ArrayList(), False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    every, no_quantiles = gateway.jvm.java.util.ArrayList(), gateway.new_array(gateway.jvm.double, 0)
+    stages = store.stageList(every, False, False, no_quantiles, every)
     for i in range(stages.size()):
         stage = stages.apply(i)
         if stage.stageId() < first_stage or stage.status().toString() != "COMPLETE":

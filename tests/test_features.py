@@ -72,8 +72,8 @@ def test_zero_weight_is_no_rating(events):
     assert [r.rating for r in ops.ratings(df, weights={"view": 0, "addtocart": 2}).collect()] == [2.0]
 
 
-def test_ids_beyond_32_bits_stop_the_job(spark):
-    wide = spark.createDataFrame([(1, 2**40, "view", 1, None)], "timestamp long, visitorid long, event string, itemid int, transactionid long")
+def test_ids_beyond_32_bits_stop_the_job(events):
+    wide = events((1, 1, "view", 1)).withColumn("visitorid", F.lit(2**40))
     with pytest.raises(ArithmeticException):
         ops.ratings(wide).collect()
 

@@ -124,7 +124,8 @@ def test_number_of_recommendations_has_bounds(spark, recommender, k):
 def test_repeats_weigh_more(spark):
     """Fitting repeated pairs is not fitting their maximum."""
     rows = [(u, i, float((u * i) % 5 + 1)) for u in range(8) for i in range(8)]
-    repeated = spark.createDataFrame(rows + [(1, 1, 5.0), (1, 1, 1.0), (1, 1, 1.0)], "visitorid_int int, itemid_int int, rating double")
+    rows += [(1, 1, 5.0), (1, 1, 1.0), (1, 1, 1.0)]
+    repeated = spark.createDataFrame(rows, "visitorid_int int, itemid_int int, rating double")
     merged = repeated.groupBy("visitorid_int", "itemid_int").agg(F.max("rating").alias("rating"))
     one, other = plans.fit_recommender(repeated), plans.fit_recommender(merged)
     pair = repeated.limit(1).select(F.lit(1).alias("visitorid_int"), F.lit(1).alias("itemid_int"))
@@ -257,7 +258,8 @@ def test_missing_and_broken_models_are_warnings(spark, segments, tmp_path):
 
 
 def test_inputs_are_released_after_a_failed_fit(spark):
-    bad = spark.createDataFrame([(1, None, 1, 1, 1)], "visitorid int, num_views long, num_addtocart long, distinct_items_interacted long, has_transaction int")
+    columns = "num_views long, num_addtocart long, distinct_items_interacted long, has_transaction int"
+    bad = spark.createDataFrame([(None, 1, 1, 1)], columns)
     with pytest.raises(Exception):
         plans.fit_transaction_predictor(bad)
     assert not bad.is_cached

@@ -163,6 +163,15 @@ def test_unlogged_landing_is_not_seen(spark, numbered_log, tmp_path):
     assert len(read(spark, path, 1, 9, include_final=True)) == 23
 
 
+def test_crash_while_writing_the_log(spark, numbered_log, tmp_path):
+    path = str(tmp_path / "t")
+    land_epoch(numbered_log(20), path, "event_id", 10, 0, "w")
+    (tmp_path / "t" / "log" / "epoch=1" / "_temporary").mkdir(parents=True)
+    assert newest_entry(spark, path).epoch == 0
+    land_epoch(numbered_log(3, start=20), path, "event_id", 10, 1, "w")
+    assert len(read(spark, path, 1, 9, include_final=True)) == 23
+
+
 def test_two_writers_do_not_mix(spark, numbered_log, tmp_path):
     path = str(tmp_path / "t")
     land_epoch(numbered_log(20), path, "event_id", 10, 0, "w")
