@@ -151,8 +151,8 @@ def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assign_batches_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered by a column of four values and a tie-break, as by topic partition and offset."""
     events = clickstream(spark, sf_dir, ["event_id"])
-    partition = F.length("event").alias("partition")
-    return ops.assign_batches(events.select("*", partition), ["partition", "event_id"], BATCH_ROWS)
+    kind_length = F.length("event").alias("kind_length")
+    return ops.assign_batches(events.select("*", kind_length), ["kind_length", "event_id"], BATCH_ROWS)
 
 
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,7 +426,7 @@ def oracle_sql() -> dict[str, str]:
         "assign_batches": f"WITH {_EVENTS}, {_NUMBERED} SELECT * FROM batches",
         "assign_batches_by_kind": f"""WITH {_EVENTS},
             numbered AS (
-              SELECT *, CAST(length(event) AS INTEGER) AS partition,
+              SELECT *, CAST(length(event) AS INTEGER) AS kind_length,
                      (row_number() OVER (ORDER BY length(event), event_id) - 1) // {BATCH_ROWS} + 1 AS batch_no
               FROM clicks)
             SELECT *, count(*) OVER (PARTITION BY batch_no) < {BATCH_ROWS} AS is_final FROM numbered""",
