@@ -6,6 +6,7 @@ from it, so that its work grows with the table.
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -276,7 +277,7 @@ def train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.recommend(models["recommender"], scored, 3)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir) and gives a DataFrame."""
     return {
         query.__name__: query
@@ -391,7 +392,7 @@ def _doubles(columns: list[str]) -> str:
     return ", ".join(f"round(CAST({c} AS DOUBLE), 9) + 0.0 AS {c}" for c in columns)
 
 
-def oracle_sql() -> dict[str, str]:
+def library_sql() -> dict[str, str]:
     """DuckDB SQL for the queries it can express: all but those that fit a model."""
     tf = _transaction_features_sql("clicks")
     tf_gaps = _transaction_features_sql("gaps")
@@ -452,3 +453,24 @@ def oracle_sql() -> dict[str, str]:
         "scaled_segment_features": f"""WITH {_EVENTS}, {_SEGMENT_FEATURES}
             SELECT visitorid, {_scaled(SEGMENT_FEATURES)} FROM sf""",
     }
+
+
+# The operators on training text stand apart: without their package the rest works as before.
+
+HAS_LLM = importlib.util.find_spec("clickloom.llm") is not None
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if not HAS_LLM:
+        return library_queries()
+    from clickloom.llm.queries import QUERIES
+
+    return library_queries() | QUERIES
+
+
+def oracle_sql() -> dict[str, str]:
+    if not HAS_LLM:
+        return library_sql()
+    from clickloom.llm.queries import ORACLE_SQL
+
+    return library_sql() | ORACLE_SQL

@@ -3,7 +3,7 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry_module
 
-ROWS_ONLY = sorted(set(entry_module.queries()) - set(entry_module.oracle_sql()))
+ROWS_ONLY = sorted(set(entry_module.library_queries()) - set(entry_module.library_sql()))
 
 
 def test_flagship(spark):
@@ -18,6 +18,6 @@ def test_only_models_go_without_sql():
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_model_queries_cover_every_visitor(spark, name):
-    df = entry_module.queries()[name](spark, f"{TESTDATA}/sf0.001")
+    df = entry_module.library_queries()[name](spark, f"{TESTDATA}/sf0.001")
     expected = {"explode_recs": 15 * 5, "recommend_topk": 16}.get(name, 15)
     assert df.count() == expected

@@ -22,20 +22,20 @@ def scale(request):
 
 
 def test_every_oracle_has_a_query():
-    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+    assert set(entry_module.library_sql()) <= set(entry_module.library_queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry_module.library_sql()))
 def test_matches_sql(spark, scale, name):
     sf_dir, db = scale
-    expected = db.sql(entry_module.oracle_sql()[name])
-    result = entry_module.queries()[name](spark, sf_dir)
+    expected = db.sql(entry_module.library_sql()[name])
+    result = entry_module.library_queries()[name](spark, sf_dir)
     columns = sorted(result.columns)
     assert columns == sorted(expected.columns)
     expected_types = dict(zip(expected.columns, map(str, expected.types)))
     assert {n: SPARK_TYPES[t] for n, t in result.dtypes} == expected_types
     names = ", ".join(f'"{c}"' for c in columns)
-    want = sorted(db.sql(f"SELECT {names} FROM ({entry_module.oracle_sql()[name]})").fetchall(), key=repr)
+    want = sorted(db.sql(f"SELECT {names} FROM ({entry_module.library_sql()[name]})").fetchall(), key=repr)
     got = sorted(map(tuple, result.select(*columns).collect()), key=repr)
     assert len(got) == len(want)
     assert got == want
