@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.decontaminate import contamination
+from clickloom.llm.line_dedup import dedup_lines, reassembled
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate,)}
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select(
+        "row.doc_id",
+        F.size("lines").cast("bigint").alias("n_lines"),
+        (F.size("lines") - F.size("kept")).cast("bigint").alias("n_dropped"),
+        F.sha2(reassembled(), 256).alias("kept_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_line_dedup)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -58,4 +69,19 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN item_lists USING (doc_id)""",
+    "op3_line_dedup": r"""
+        WITH lines AS (
+          SELECT doc_id, pos, line,
+                 translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+          FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
+                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+        shared AS (
+          SELECT key, min(doc_id) AS first_id FROM lines WHERE length(key) >= 10
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+        marked AS (
+          SELECT lines.*, coalesce(lines.doc_id <> first_id, false) AS gone FROM lines LEFT JOIN shared USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
 }
