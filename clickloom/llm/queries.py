@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.line_dedup import dedup_lines, reassembled
+from clickloom.llm.quality import quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +42,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_line_dedup)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_line_dedup, op8_quality_rules)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
