@@ -48,9 +48,12 @@ def split_pattern(pattern: str) -> regex.Pattern:
 class Vocabulary:
     """Ranks of byte strings (``base64 rank`` lines), and the rank of each pair of ranks that merges."""
 
+    @staticmethod
+    def ranks_of(lines: bytes) -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
+
     def __init__(self, lines: bytes):
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines() if lines else [])}
-        self.ranks = ranks
+        self.ranks = ranks = self.ranks_of(lines)
         self.bytes = dict(zip(ranks.values(), ranks))
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         keys, merged = [], []

@@ -10,10 +10,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe
+from clickloom.llm import byte_bpe, packing
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.line_dedup import dedup_lines, reassembled
 from clickloom.llm.quality import quality
+from clickloom.llm.token_counts import read_tokenizer, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per packed row; documents end with the id that the vocabulary leaves free."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ids = packing.library_ids(F.col("text"), ranks, public_tokenizers.PATTERN)
+    packed = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")), end_id=50256)
+    return packed.select(
+        "doc_ids",
+        "doc_offsets",
+        "cu_seqlens",
+        F.element_at("cu_seqlens", -1).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     done = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -55,11 +71,26 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer, limit=1024)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op3_line_dedup, op5_byte_bpe, op8_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op3_line_dedup,
+        op4_token_packing,
+        op5_byte_bpe,
+        op6_token_counts,
+        op8_quality_rules,
+    )
+}
 
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
