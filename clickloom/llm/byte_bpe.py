@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.textbytes import text_udf
 
 WIDE = 64
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 TOGETHER = 1 << 20
 NONE = np.int64(1) << 62
 
@@ -259,7 +259,22 @@ def decode(ids: Column, ranks: bytes, pattern: str) -> Column:
     return text_udf(_decoded(ranks, pattern), "binary")(ids)
 
 
+def _both(lines: bytes, pattern: str):
+    def make():
+        own = encoder(lines, pattern)
+
+        def both(texts: pa.Array) -> pa.Array:
+            ids = own.encode(texts.to_pylist())
+            columns = [pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())]
+            return pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+
+        return both
+
+    return make
+
+
 def round_trip(documents: DataFrame, ranks: bytes, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its id, its packed ``ids`` and the ``decoded`` bytes."""
-    encoded = documents.select(F.col(doc_id).alias("doc_id"), encode(F.col(text), ranks, pattern).alias("ids"))
-    return encoded.select("doc_id", "ids", decode(F.col("ids"), ranks, pattern).alias("decoded"))
+    """One row per document: its id, its packed ``ids`` and the bytes ``decoded`` from them."""
+    both = text_udf(_both(ranks, pattern), "struct<ids: binary, decoded: binary>")
+    own = documents.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("r"))
+    return own.select("doc_id", "r.ids", "r.decoded")

@@ -140,17 +140,38 @@ def window_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Bytes of the first column that a function of a batch gets at a time.
+CALL_BYTES = 1 << 22
+
+
+def _cuts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of rows of about ``CALL_BYTES``."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.cumsum(sizes)
+    start = 0
+    while start < len(column):
+        before = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, before + CALL_BYTES, "right")))
+        yield start, end - start
+        start = end
+
+
 def text_udf(make: Callable[[], Callable[..., pa.Array]], schema: str) -> Callable[..., Column]:
-    """A column function of whole columns in Arrow form.
+    """A column function of whole columns in Arrow form, the first of text or bytes.
 
-    ``make`` runs once in each task and returns the function of a batch, so that tables are
-    built once; Spark keeps the other columns of the row to itself, whatever their names.
+    ``make`` runs once in each task and returns the function of some rows, so that tables are
+    built once. Spark's batches are bounded in rows, not in bytes, so they are passed on in
+    parts. Spark keeps the other columns of the row to itself, whatever their names.
     """
 
     def run(batches):
         function = make()
         for batch in batches:
-            yield function(*batch) if isinstance(batch, tuple) else function(batch)
+            columns = batch if isinstance(batch, tuple) else (batch,)
+            if not len(columns[0]):
+                yield function(*columns)
+            for start, length in _cuts(columns[0]):
+                yield function(*(c.slice(start, length) for c in columns))
 
     def one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield from run(batches)
