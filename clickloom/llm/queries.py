@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clickloom.llm import byte_bpe, packing
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.line_dedup import dedup_lines, reassembled
+from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.quality import quality
 from clickloom.llm.token_counts import read_tokenizer, token_counts
 
@@ -80,6 +81,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES = {
         op5_byte_bpe,
         op6_token_counts,
         op8_quality_rules,
+        op9_near_dedup,
     )
 }
 
@@ -133,4 +139,27 @@ ORACLE_SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op9_near_dedup": r"""
+        WITH RECURSIVE docs AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+          FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+          SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+        ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+        reached AS (
+          SELECT doc_id, doc_id AS other FROM docs
+          UNION SELECT r.doc_id, w.y FROM reached r JOIN ways w ON w.x = r.other)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM docs d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)""",
 }
