@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import byte_bpe, packing
 from clickloom.llm.decontaminate import contamination
+from clickloom.llm.licenses import license_scan
 from clickloom.llm.line_dedup import dedup_lines, reassembled
 from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.quality import quality
@@ -77,6 +78,20 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer, limit=1024)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min("phrase_at").cast("bigint").alias("first_word"),
+        F.array_max("phrase_at").cast("bigint").alias("last_word"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("phrases"))).alias("base_labels"),
+        F.concat_ws(",", F.array_sort(F.array_union("phrases", "labels"))).alias("labels"),
+        "score",
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -93,6 +108,7 @@ QUERIES = {
         op4_token_packing,
         op5_byte_bpe,
         op6_token_counts,
+        op7_license_scan,
         op8_quality_rules,
         op9_near_dedup,
     )
