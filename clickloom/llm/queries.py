@@ -7,7 +7,7 @@ columns its contract asks for are derived here from what the operator returns.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import byte_bpe, packing
@@ -16,6 +16,8 @@ from clickloom.llm.licenses import license_scan
 from clickloom.llm.line_dedup import dedup_lines, reassembled
 from clickloom.llm.near_dedup import near_duplicates
 from clickloom.llm.quality import quality
+from clickloom.llm.secrets import KINDS as SECRET_KINDS
+from clickloom.llm.secrets import secrets
 from clickloom.llm.token_counts import read_tokenizer, token_counts
 
 
@@ -100,10 +102,34 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _spans_text(spans) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+def _base_of(spans: str, kinds: tuple[str, ...]) -> Column:
+    return F.filter(spans, lambda s: s.kind.isin(*kinds))
+
+
+def _counts_of(spans: str, kinds: tuple[str, ...]) -> list[Column]:
+    return [F.size(_base_of(spans, (k,))).cast("bigint").alias(f"n_{k}") for k in kinds]
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *_counts_of("spans", SECRET_KINDS),
+        F.sha2(_spans_text(_base_of("spans", SECRET_KINDS)), 256).alias("base_sha256"),
+        _spans_text("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate,
+        op2_secret_scan,
         op3_line_dedup,
         op4_token_packing,
         op5_byte_bpe,
