@@ -15,6 +15,8 @@ from clickloom.llm.decontaminate import contamination
 from clickloom.llm.licenses import license_scan
 from clickloom.llm.line_dedup import dedup_lines, reassembled
 from clickloom.llm.near_dedup import near_duplicates
+from clickloom.llm.personal_data import KINDS as PERSONAL_KINDS
+from clickloom.llm.personal_data import personal_data
 from clickloom.llm.quality import quality
 from clickloom.llm.secrets import KINDS as SECRET_KINDS
 from clickloom.llm.secrets import secrets
@@ -125,6 +127,16 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *_counts_of("spans", PERSONAL_KINDS),
+        F.sha2(_spans_text(_base_of("spans", PERSONAL_KINDS)), 256).alias("base_sha256"),
+        _spans_text("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -137,6 +149,7 @@ QUERIES = {
         op7_license_scan,
         op8_quality_rules,
         op9_near_dedup,
+        op10_personal_data,
     )
 }
 
