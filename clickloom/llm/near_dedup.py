@@ -337,13 +337,17 @@ def near_duplicates(
     size: int = SHINGLE,
     trees: int = TREES,
     leaf: int = LEAF,
+    extra: str | None = None,
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``."""
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, and ``extra``, a column to carry along."""
     ensure_checkpoints(documents.sparkSession)
-    own = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed = own.select("doc_id", text_udf(_signer(size, COORDINATES), SIGNED)(F.col("text")).alias("s"))
+    carried = [F.col(extra).alias("extra")] if extra else []
+    own = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *carried)
+    carried = ["extra"] if extra else []
+    signed = own.select("doc_id", *carried, text_udf(_signer(size, COORDINATES), SIGNED)(F.col("text")).alias("s"))
     known = F.when(F.col("doc_id").isNotNull(), F.col("s.fp"))
-    ids = _saved(signed.select("doc_id", F.col("s.n").alias("n"), known.alias("fp"), F.col("s.mh").alias("mh")), "near-ids")
+    signed = signed.select("doc_id", *carried, F.col("s.n").alias("n"), known.alias("fp"), F.col("s.mh").alias("mh"))
+    ids = _saved(signed, "near-ids")
     classes = ids.filter("fp IS NOT NULL").groupBy("fp").agg(F.first("mh").alias("mh"), F.min("doc_id").alias("first_id"))
     classes = _saved(classes, "near-classes")
     with_id = own.filter("doc_id IS NOT NULL")
@@ -355,12 +359,31 @@ def near_duplicates(
     least = grouped.groupBy("label").agg(F.min("first_id").alias("component_id")).checkpoint()
     component = alone.unionByName(grouped.join(least, "label").select("fp", "component_id")).checkpoint()
     return (
-        ids.select("doc_id", "n", "fp")
+        ids.select("doc_id", *carried, "n", "fp")
         .join(component, "fp", "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.coalesce("component_id", "doc_id").alias("component_id"),
             F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
+            *carried,
         )
     )
+
+
+def without_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that are kept, with all their columns: of each group those with its smallest id.
+
+    Rows of that id which are in the group all stay; of rows with equal ids in different
+    groups, each goes with its own group, told apart by the fingerprint of its text.
+    """
+    tag = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    rows = documents.select(
+        F.struct("*").alias("row"), documents[doc_id].alias("doc_id"), documents[text].alias("text")
+    ).withColumn("tag", tag)
+    keyed = rows.select("text", F.struct("doc_id", "tag").alias("key"), "doc_id")
+    judged = near_duplicates(keyed, "doc_id", "text", extra="key", **options)
+    gone = judged.filter("NOT kept").select("extra").distinct().checkpoint()
+    gone = gone.select(F.col("extra.doc_id").alias("gone_id"), F.col("extra.tag").alias("gone_tag"))
+    met = (F.col("doc_id") == F.col("gone_id")) & (F.col("tag") == F.col("gone_tag"))
+    return rows.join(gone, met, "left_anti").select("row.*")

@@ -6,6 +6,7 @@ columns its contract asks for are derived here from what the operator returns.
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,6 +153,7 @@ QUERIES = {
         op10_personal_data,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
