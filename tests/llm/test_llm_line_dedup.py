@@ -1,0 +1,46 @@
+from clickloom.llm.line_dedup import dedup_lines, without_repeated_lines
+
+
+def result(docs):
+    return sorted((r.doc_id, r.text) for r in without_repeated_lines(docs).collect())
+
+
+def test_first_document_keeps_a_shared_line(documents):
+    docs = documents((2, "Shared line here\nown two"), (1, "  shared LINE here\t\nown one"), (3, "SHARED LINE HERE\nx\nshared line here"))
+    assert result(docs) == [(1, "  shared LINE here\t\nown one"), (2, "own two"), (3, "x")]
+
+
+def test_columns_stay(documents):
+    docs = documents((1, "abc"))
+    done = without_repeated_lines(docs)
+    assert done.columns == docs.columns and done.collect() == docs.collect()
+
+
+def test_lines_of_one_document_are_not_shared(documents):
+    assert result(documents((1, "long enough line\nlong enough line"))) == [(1, "long enough line\nlong enough line")]
+
+
+def test_only_ascii_is_folded_and_stripped(documents):
+    docs = documents((1, "ÉCOLE AVEC MOI"), (2, "école avec moi"), (3, "\xa0ÉCOLE AVEC MOI"))
+    assert result(docs) == [(1, "ÉCOLE AVEC MOI"), (2, "école avec moi"), (3, "\xa0ÉCOLE AVEC MOI")]
+
+
+def test_length_counts_code_points(documents):
+    nine, ten = "\U0001f642" * 9, "\U0001f642" * 10
+    assert result(documents((1, nine), (2, nine), (3, ten), (4, ten))) == [(1, nine), (2, nine), (3, ten), (4, "")]
+
+
+def test_null_empty_and_repeated_rows(documents):
+    line = "a line of some length"
+    docs = documents((1, None), (2, ""), (3, line), (3, line), (3, line + "\nb"), (4, line + "\n" + line), (None, line), (None, "own"))
+    got = sorted(((r.row.doc_id, len(r["lines"]), len(r.kept)) for r in dedup_lines(docs).collect()), key=repr)
+    assert got == sorted([(1, 1, 1), (2, 1, 1), (3, 1, 1), (3, 1, 1), (3, 2, 2), (4, 2, 0), (None, 1, 0), (None, 1, 1)], key=repr)
+
+
+def test_empty_table(documents):
+    assert result(documents()) == []
+
+
+def test_many_lines(documents):
+    text = "\n".join(f"line number {k} of many" for k in range(20_000))
+    assert result(documents((1, text), (2, text + "\nown"))) == [(1, text), (2, "own")]

@@ -1,0 +1,102 @@
+"""The queries as a whole: SQL where there is some, counts elsewhere, and the pipeline."""
+
+import duckdb
+import pyarrow as pa
+import pytest
+from test_llm_near import brute as near_brute
+
+import corpus_pipeline
+from clickloom.llm.queries import ORACLE_SQL, QUERIES
+
+TESTDATA = "/root/testdata"
+TABLES = ("documents", "benchmark", "labels")
+
+
+def frozen(row):
+    return tuple(tuple(x) if isinstance(x, list) else x for x in row)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_matches_sql(spark, name, sf):
+    db = duckdb.connect()
+    for table in TABLES:
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/{sf}/{table}.parquet'")
+    result = QUERIES[name](spark, f"{TESTDATA}/{sf}")
+    columns = sorted(result.columns)
+    want = db.sql(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(frozen, result.select(*columns).collect())) == sorted(map(frozen, want))
+
+
+def test_every_operator_is_registered():
+    assert sorted(QUERIES) == sorted(ORACLE_SQL | dict.fromkeys(QUERIES))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - {"pipeline", "op4_token_packing"}))
+def test_one_row_per_document(spark, name):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    got = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+    assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_packing_covers_every_document(spark):
+    rows = QUERIES["op4_token_packing"](spark, f"{TESTDATA}/sf0.001").collect()
+    assert {d for r in rows for d in r.doc_ids} == {r.doc_id for r in spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet").collect()}
+    assert all(0 < r.n_tokens <= 2048 for r in rows)
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """What each stage of the pipeline keeps."""
+    sf_dir = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = [docs]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path_factory.mktemp("stage") / str(k))
+        stage(spark, out[-1], sf_dir).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return [x.toPandas().sort_values("doc_id").reset_index(drop=True) for x in out]
+
+
+def test_stages_return_the_columns_of_documents(stages):
+    for frame in stages[1:-1]:
+        assert list(frame.columns) == list(stages[0].columns)
+
+
+def test_quality_stage(spark, stages):
+    judged = QUERIES["op8_quality_rules"](spark, f"{TESTDATA}/sf0.01").filter("kept").select("doc_id").toPandas()
+    assert stages[1].doc_id.tolist() == sorted(judged.doc_id)
+
+
+def test_line_stage(stages):
+    before, after = stages[1], stages[2]
+    db = duckdb.connect()
+    db.register("documents", pa.Table.from_pandas(before))
+    want = {r[0]: r[1] for r in db.sql(f"SELECT doc_id, kept_sha256 FROM ({ORACLE_SQL['op3_line_dedup']})").fetchall()}
+    import hashlib
+
+    assert {i: hashlib.sha256(t.encode()).hexdigest() for i, t in zip(after.doc_id, after.text)} == want
+    assert after.n_chars.tolist() == after.text.str.len().tolist()
+
+
+def test_near_stage(stages):
+    before, after = stages[2], stages[3]
+    judged = near_brute(list(zip(before.doc_id.tolist(), before.text.tolist())), size=5)
+    assert after.doc_id.tolist() == sorted(r[0] for r in judged if r[3])
+
+
+def test_decontamination_stage(stages):
+    before, after = stages[3], stages[4]
+    db = duckdb.connect()
+    db.register("documents", pa.Table.from_pandas(before))
+    db.sql(f"CREATE VIEW benchmark AS SELECT * FROM '{TESTDATA}/sf0.01/benchmark.parquet'")
+    clean = db.sql(f"SELECT doc_id FROM ({ORACLE_SQL['op1_decontaminate']}) WHERE NOT contaminated ORDER BY 1").fetchall()
+    assert after.doc_id.tolist() == [r[0] for r in clean]
+
+
+def test_encoding_stage_and_run(spark, stages):
+    last = stages[5]
+    assert last.doc_id.tolist() == stages[4].doc_id.tolist() and last.text.tolist() == stages[4].text.tolist()
+    run = corpus_pipeline.run(spark, f"{TESTDATA}/sf0.01").toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert run.equals(last)

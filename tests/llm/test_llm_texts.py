@@ -1,0 +1,56 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from clickloom.llm.textbytes import ALNUM_WORD, SPACED_WORD, Words, slices, span_hashes, window_hashes
+
+#: Texts that are null, empty, of spaces, short, long, without separators, with every kind of character.
+ODD_TEXTS = [
+    None,
+    "",
+    " \n\t \n",
+    "word",
+    "One Two",
+    "a b c d e f g h i j k l",
+    "é ß 中文 \U0001f642 naïve ÉCOLE",
+    "x" * 70_000,
+    "lorem ipsum dolor sit amet " * 4_000,
+    "line one is here\nline two is here\nline one is here\n\n",
+    "\x00\x1c\x85   　 tail",
+]
+
+PATTERNS = (
+    (ALNUM_WORD, True, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"),
+    (SPACED_WORD, False, r"[^\x20\x09-\x0D]+"),
+)
+
+
+def test_words_match_the_patterns():
+    draw = random.Random(0)
+    texts = ODD_TEXTS + ["".join(draw.choice(["a", "B", " ", "\n", "é", "-", "中", "1", "\x7f"]) for _ in range(50)) for _ in range(300)]
+    for members, lower, pattern in PATTERNS:
+        for most in (1, 100, 1 << 20):
+            got = []
+            for part in slices(pa.array(texts), most):
+                words = Words(part, members, lower)
+                for a, b in zip(words.first, words.first[1:]):
+                    got.append([words.data[s:e].tobytes().decode() for s, e in zip(words.starts[a:b], words.ends[a:b])])
+            plain = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "") if lower else t or "" for t in texts]
+            assert got == [re.findall(pattern, t) for t in plain]
+
+
+def test_equal_words_and_windows_hash_alike():
+    data = np.frombuffer(b"abc xyz abc xyz abd", np.uint8)
+    hashes = span_hashes(data, np.array([0, 4, 8, 12, 16]), np.array([3, 7, 11, 15, 19]))
+    assert hashes[0] == hashes[2] and hashes[1] == hashes[3] and len(set(hashes.tolist())) == 3
+    windows = window_hashes(hashes, 2)
+    assert windows[0] == windows[2] and len(set(windows.tolist())) == 3
+    assert len(window_hashes(hashes, 6)) == 0
+
+
+def test_slices_of_a_sliced_array():
+    array = pa.array(["skip", "one", None, "", "two"]).slice(1)
+    assert [p.text(i) for p in slices(array) for i in range(len(p))] == ["one", "", "", "two"]
+    assert list(slices(pa.array([], pa.string()))) == []
