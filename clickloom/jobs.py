@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickloom import operators as ops
 from clickloom import plans, sources
-from clickloom.plans.training import TRAINING_RANGES
+from clickloom.plans.training import DEFAULT_BLOCKS, TRAINING_RANGES
 from clickloom.schema import BATCH_SIZE
 from clickloom.session import get_session
 from clickloom.streaming import land_stream
@@ -31,7 +31,7 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     ranges = {name: tuple(getattr(args, name)) for name in TRAINING_RANGES}
-    plans.train_all(_range_reader(spark, args), args.models, ranges)
+    plans.train_all(_range_reader(spark, args), args.models, ranges, blocks=args.blocks)
 
 
 def recommend(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -88,6 +88,7 @@ def _parser() -> argparse.ArgumentParser:
     command.add_argument("--size", type=int, default=BATCH_SIZE)
 
     command = with_events(step(train, "models", text="fit and save the three models"))
+    command.add_argument("--blocks", type=int, default=DEFAULT_BLOCKS, help="blocks of ratings on either side")
     for name, batches in TRAINING_RANGES.items():
         flag = "--" + name.replace("_", "-")
         command.add_argument(flag, type=int, nargs=2, default=batches, metavar=("FIRST", "LAST"))

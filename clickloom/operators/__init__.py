@@ -6,6 +6,7 @@ from clickloom.operators.features import (
     with_segment_ratios,
 )
 from clickloom.operators.filters import known_events, merge_batches, with_keys
+from clickloom.operators.ranking import rank_items
 from clickloom.operators.ratings import ratings
 from clickloom.operators.scaling import assembled_features, scaled_features
 from clickloom.operators.scoring import (
@@ -14,6 +15,7 @@ from clickloom.operators.scoring import (
     recommend,
     score_transactions,
     segment_users,
+    with_ranked,
 )
 
 __all__ = [
@@ -24,6 +26,7 @@ __all__ = [
     "explode_recs",
     "known_events",
     "merge_batches",
+    "rank_items",
     "ratings",
     "recommend",
     "scaled_features",
@@ -34,5 +37,6 @@ __all__ = [
     "select_batches",
     "transaction_features",
     "with_keys",
+    "with_ranked",
     "with_segment_ratios",
 ]

@@ -9,10 +9,13 @@ exchange but put that visitor's raw rows into one task, so it is not done.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import is_event, safe_ratio
+from clickloom.schema import SEGMENT_RATIOS
 
 
 def _events(kind: str) -> Column:
@@ -53,15 +56,14 @@ def segment_counts(df: DataFrame, null_visitors: str = "as_zero") -> DataFrame:
     )
 
 
-def with_segment_ratios(counts: DataFrame) -> DataFrame:
-    """Add the shares. Transactions are set against views, not events, so that one can exceed 1."""
-    return counts.withColumns(
-        {
-            "view_ratio": safe_ratio("total_views", "total_events"),
-            "addtocart_ratio": safe_ratio("total_addtocart", "total_events"),
-            "transaction_ratio": safe_ratio("total_transactions", "total_views"),
-        }
-    )
+def with_segment_ratios(counts: DataFrame, ratios: Sequence[str] = SEGMENT_RATIOS) -> DataFrame:
+    """Add the shares named. Transactions are set against views, not events, so that one can exceed 1."""
+    of = {
+        "view_ratio": safe_ratio("total_views", "total_events"),
+        "addtocart_ratio": safe_ratio("total_addtocart", "total_events"),
+        "transaction_ratio": safe_ratio("total_transactions", "total_views"),
+    }
+    return counts.withColumns({name: of[name] for name in ratios})
 
 
 def segment_features(df: DataFrame, null_visitors: str = "as_zero") -> DataFrame:

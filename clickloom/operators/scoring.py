@@ -6,107 +6,46 @@ recommending joins and ranks, and is for batch input.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import positive_probability
 from clickloom.operators.features import with_segment_ratios
-from clickloom.schema import SEGMENT_COUNTS, SEGMENT_RATIOS, TRANSACTION_FEATURES
+from clickloom.operators.ranking import rank_items
+from clickloom.schema import SEGMENT_COUNTS, SEGMENT_FEATURES, SEGMENT_RATIOS, TRANSACTION_FEATURES
 
 # How many items may be asked for, and how many are given unasked.
 MIN_RECOMMENDATIONS, MAX_RECOMMENDATIONS, DEFAULT_RECOMMENDATIONS = 1, 20, 5
 
 _RECS = "array<struct<itemid:int,rating:float>>"
 
-# Item factors up to this size are sent to every executor; larger ones stay distributed.
-BROADCAST_BYTES = 64 * 2**20
-_SCORES_AT_ONCE = 4 * 2**20
 
-
-def recommend(
-    model: ALSModel,
-    users: DataFrame,
-    k: int = DEFAULT_RECOMMENDATIONS,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def recommend(model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATIONS) -> DataFrame:
     """Each row of ``users`` with its ``k`` best items, best first, in ``recommendations``.
 
-    Items a visitor already had are not left out. A visitor the model does not know gets
-    an empty array. Only the visitors asked for are scored, each once.
-
-    Item factors within ``broadcast_bytes`` are broadcast and each visitor is ranked where
-    its factors are. With more items the model ranks block by block, which pairs every
-    block of visitors with every block of items and merges the best of each pair.
+    Items a visitor already had are not left out. A visitor the model does not know, or
+    whose id is no integer, gets an empty array. Only the visitors asked for are scored,
+    each once. Factors are counted when this is called.
     """
     if not MIN_RECOMMENDATIONS <= k <= MAX_RECOMMENDATIONS:
         raise ValueError(f"k must be {MIN_RECOMMENDATIONS} to {MAX_RECOMMENDATIONS}, not {k}")
-    user_col = model.getUserCol()
-    wanted = users.select(F.col("visitorid").try_cast("int").alias(user_col)).filter(F.col(user_col).isNotNull())
-    if model.itemFactors.count() * (model.rank + 1) * 8 <= broadcast_bytes:
-        found = _rank_in_tasks(model, wanted, k)
-    else:
-        found = model.recommendForUserSubset(wanted, k)
-    found = found.select(
-        F.col(user_col).alias("visitorid"),
-        F.col("recommendations").cast(_RECS).alias("recommendations"),
-    )
-    return users.join(found, "visitorid", "left").withColumn(
-        "recommendations", F.coalesce("recommendations", F.array().cast(_RECS))
-    )
+    known_id = F.col("visitorid").try_cast("int")
+    wanted = users.select(known_id.alias("id")).filter("id IS NOT NULL").distinct()
+    ranked = rank_items(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k)
+    return with_ranked(users, ranked, known_id)
 
 
-def _rank_in_tasks(model: ALSModel, wanted: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best items of each wanted visitor the model knows. Equal scores rank by item id."""
-    spark = wanted.sparkSession
-    user_col = wanted.columns[0]
-    items = model.itemFactors.toPandas().sort_values("id")
-    shared = spark.sparkContext.broadcast(
-        (items["id"].to_numpy(), np.stack(items["features"]).T.astype(np.float64))
-    )
-    rows_at_once = max(1, _SCORES_AT_ONCE // len(items))
-    k = min(k, len(items))
-
-    # all that tasks need is defined in here, so they need not import this package
-
-    def best_columns(scores: np.ndarray) -> np.ndarray:
-        n = scores.shape[1]
-        width = max(1, min(int(n**0.5), n // k))
-        maxima = np.stack([scores[:, at : at + width].max(axis=1) for at in range(0, n, width)], axis=1)
-        # k groups of columns reach the k-th largest maximum, so no smaller value is among the best k
-        least = np.partition(maxima, -k, axis=1)[:, -k]
-        row, column = np.nonzero(scores >= least[:, None])
-        column = column[np.lexsort((column, -scores[row, column], row))]
-        return column[np.searchsorted(row, np.arange(len(scores)))[:, None] + np.arange(k)]
-
-    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, factors = shared.value
-        for batch in batches:
-            for at in range(0, len(batch), rows_at_once):
-                part = batch.iloc[at : at + rows_at_once]
-                # in doubles, so that a rating does not depend on which rows are scored together
-                scores = np.stack(part["features"]).astype(np.float64) @ factors
-                top = best_columns(scores)
-                yield pd.DataFrame(
-                    {
-                        "id": part["id"],
-                        "itemids": list(ids[top]),
-                        "ratings": list(np.take_along_axis(scores, top, axis=1).astype(np.float32)),
-                    }
-                )
-
-    known = model.userFactors.join(wanted.distinct(), F.col("id") == F.col(user_col), "left_semi")
-    # few bytes but much work for each row: the number of tasks must not follow the bytes
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def with_ranked(users: DataFrame, ranked: DataFrame, known_id: Column) -> DataFrame:
+    """``users`` with ``recommendations`` from ``ranked``, by the id that ``known_id`` makes of a row."""
+    found = ranked.select(F.col("id").alias("_ranked_id"), F.col("ranked").cast(_RECS).alias("recommendations"))
     return (
-        known.repartition(tasks, "id")
-        .mapInPandas(rank, "id int, itemids array<int>, ratings array<float>")
-        .select(F.col("id").alias(user_col), F.arrays_zip("itemids", "ratings").alias("recommendations"))
+        users.join(found, known_id == F.col("_ranked_id"), "left")
+        .drop("_ranked_id")
+        .withColumn("recommendations", F.coalesce("recommendations", F.array().cast(_RECS)))
     )
 
 
@@ -132,11 +71,16 @@ def score_transactions(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def segment_users(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """The caller's columns, without the features, plus ``cluster_id``.
+    """The caller's columns, without the features, plus ``cluster_id``, for every row.
 
-    Ratios are taken as given; when a frame has the counts only, they are computed.
+    Ratios are taken as given, and those that a frame doesn't have are computed. A row with
+    a missing feature has no segment: its ``cluster_id`` is null.
     """
     rest = [c for c in features.columns if c not in SEGMENT_COUNTS + SEGMENT_RATIOS]
-    if not set(SEGMENT_RATIOS) & set(features.columns):
-        features = with_segment_ratios(features)
-    return model.transform(features).select(*rest, F.col("prediction").cast("int").alias("cluster_id"))
+    features = with_segment_ratios(features, [r for r in SEGMENT_RATIOS if r not in features.columns])
+    whole = reduce(Column.__and__, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in SEGMENT_FEATURES))
+    # the fitted pipeline skips rows with gaps, so they get a value here and lose the segment after it
+    gaps = {c: F.when(F.col("_whole"), F.col(c)).otherwise(F.lit(0)) for c in SEGMENT_FEATURES}
+    filled = features.withColumn("_whole", F.coalesce(whole, F.lit(False))).withColumns(gaps)
+    segment = F.when(F.col("_whole"), F.col("prediction").cast("int")).alias("cluster_id")
+    return model.transform(filled).select(*rest, segment)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
@@ -31,8 +30,9 @@ TRAINING_RANGES = {
 }
 
 SEED = 42
-_RATINGS_PER_BLOCK = 2_000_000
-_MIN_BLOCKS, _MAX_BLOCKS = 10, 1_000
+# Fixed value: blocks of ratings on either side. A seed gives other factors with other blocks.
+DEFAULT_BLOCKS = 10
+MANY_RATINGS_PER_BLOCK = 2_000_000
 
 
 @contextmanager
@@ -45,26 +45,24 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def fit_recommender(ratings: DataFrame, seed: int = SEED, blocks: int | None = None) -> ALSModel | None:
+def fit_recommender(ratings: DataFrame, seed: int = SEED, blocks: int = DEFAULT_BLOCKS) -> ALSModel | None:
     """Explicit-feedback ALS; ``None`` when there are no ratings.
 
-    The ratings are split into ``blocks`` by visitor and by item, by default one for every
-    two million rows, though not more than there are cores, nor more than a thousand: every
-    pair of blocks exchanges factors in every round, and is a task when recommending.
+    The ratings are split into ``blocks`` by visitor and by item. Starting factors are drawn
+    block by block, so the model depends on their number, and on nothing else about the
+    cluster or the size of the input; for many ratings ask for more of them.
 
     All ratings of one visitor, or of one item, are solved in one task. Where repeats make
     that too much, ``ratings(..., dedupe="max")`` leaves one per pair.
     """
-    spark = ratings.sparkSession
-    ensure_checkpoints(spark)
+    ensure_checkpoints(ratings.sparkSession)
     with _kept(ratings):
         n_ratings = ratings.count()
         if n_ratings == 0:
             return None
-        if blocks is None:
-            wanted = math.ceil(n_ratings / _RATINGS_PER_BLOCK)
-            blocks = max(_MIN_BLOCKS, min(wanted, spark.sparkContext.defaultParallelism, _MAX_BLOCKS))
-        log.info("recommender: %d ratings in %d blocks", n_ratings, blocks)
+        per_block = n_ratings // blocks
+        if per_block > MANY_RATINGS_PER_BLOCK:
+            log.warning("recommender: %d ratings to a block; ask for more than %d blocks", per_block, blocks)
         als = ALS(
             userCol="visitorid_int",
             itemCol="itemid_int",
@@ -111,6 +109,7 @@ def train_all(
     out: str,
     ranges: Mapping[str, tuple[int, int]] = TRAINING_RANGES,
     seed: int = SEED,
+    blocks: int = DEFAULT_BLOCKS,
 ) -> dict[str, ALSModel | PipelineModel | None]:
     """Fit and save every model on its own range of batches; a range without rows is skipped.
 
@@ -118,7 +117,7 @@ def train_all(
     ``functools.partial(read_batches, spark, path)``.
     """
     fits = {
-        "recommender": lambda events: fit_recommender(to_ratings(events), seed),
+        "recommender": lambda events: fit_recommender(to_ratings(events), seed, blocks),
         "transaction_predictor": lambda events: fit_transaction_predictor(transaction_features(events), seed),
         "user_segmentation": lambda events: fit_segments(segment_features(events)),
     }

@@ -80,16 +80,74 @@ def test_recommendations_are_the_best_of_all_items(spark, observed, recommender)
         assert len({r.itemid for r in row.recommendations}) == 4
 
 
+@pytest.fixture(scope="module")
+def tied(spark):
+    """Small integer factors, so that most scores are tied, and a brute-force ranking."""
+    visitors = [(v, [float(v % 3), float(v % 2), 1.0]) for v in range(40)]
+    items = [(i * 7 % 201, [float(i % 2), 0.0, float(i % 4)]) for i in range(201)]
+
+    def best(k):
+        out = {}
+        for v, f in visitors:
+            scored = sorted((-sum(a * b for a, b in zip(f, g)), i) for i, g in items)
+            out[v] = [(i, -s) for s, i in scored[:k]]
+        return out
+
+    columns = "id int, features array<float>"
+    return spark.createDataFrame(visitors, columns), spark.createDataFrame(items, columns), best
+
+
 @pytest.mark.parametrize("k", [1, 7, 20])
-def test_broadcast_and_distributed_ranking_agree(observed, recommender, k):
-    users = observed.select(F.col("visitorid_int").alias("visitorid")).distinct()
-    here = {r.visitorid: r.recommendations for r in ops.recommend(recommender, users, k).collect()}
-    there = {r.visitorid: r.recommendations for r in ops.recommend(recommender, users, k, broadcast_bytes=0).collect()}
-    assert here.keys() == there.keys()
-    for visitor, best in here.items():
-        assert len(best) == k
-        assert [r.rating for r in best] == pytest.approx([r.rating for r in there[visitor]], rel=1e-4)
-        assert [r.rating for r in best] == sorted((r.rating for r in best), reverse=True)
+@pytest.mark.parametrize("per_block", [(4096, 4096), (7, 110), (40, 5), (1, 1)])
+def test_ties_rank_alike_in_any_blocks(tied, k, per_block):
+    visitors, items, best = tied
+    ranked = ops.rank_items(visitors, items, k, *per_block).collect()
+    assert {r.id: [tuple(x) for x in r.ranked] for r in ranked} == best(k)
+
+
+def test_ratings_do_not_depend_on_blocks(recommender):
+    sides = recommender.userFactors, recommender.itemFactors
+    whole = sorted(ops.rank_items(*sides, 5).collect())
+    assert whole == sorted(ops.rank_items(*sides, 5, 3, 11).collect())
+
+
+def test_ranking_nothing(spark, tied):
+    visitors, items, _ = tied
+    assert ops.rank_items(visitors, items.limit(0), 3).collect() == []
+    assert ops.rank_items(visitors.limit(0), items, 3).collect() == []
+
+
+def test_ranking_is_an_equi_join(tied):
+    visitors, items, _ = tied
+    plan = ops.rank_items(visitors, items, 3, 10, 50)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_ids_of_any_type_are_asked_for(spark, observed, recommender):
+    known = observed.first().visitorid_int
+    users = spark.createDataFrame([(str(known),), ("guest-1",), (None,)], "visitorid string")
+    got = {r.visitorid: len(r.recommendations) for r in ops.recommend(recommender, users, 3).collect()}
+    assert got == {str(known): 3, "guest-1": 0, None: 0}
+
+
+def test_blocks_depend_on_nothing_else(spark, observed, monkeypatch, caplog):
+    from clickloom.plans import training
+
+    asked = []
+
+    class Recorded(training.ALS):
+        def fit(self, rows):
+            asked.append((self.getNumUserBlocks(), self.getNumItemBlocks()))
+
+    monkeypatch.setattr(training, "ALS", Recorded)
+    monkeypatch.setattr(training, "MANY_RATINGS_PER_BLOCK", 10)
+    with caplog.at_level(logging.WARNING):
+        plans.fit_recommender(observed.limit(20))
+        assert not caplog.records
+        plans.fit_recommender(observed)
+        assert any("ratings to a block" in r.getMessage() for r in caplog.records)
+    plans.fit_recommender(observed, blocks=3)
+    assert asked == [(10, 10), (10, 10), (3, 3)]
 
 
 def test_fewer_items_than_asked_for(spark, events):
@@ -189,6 +247,20 @@ def test_ratios_are_computed_only_if_not_given(behaviour, segments):
     assert sorted(whole.collect()) == sorted(counts_only.collect())
 
 
+def test_every_row_comes_back_and_single_ratios_are_computed(behaviour, segments):
+    whole = {r.visitorid: r.cluster_id for r in ops.segment_users(segments, behaviour).collect()}
+    partly = behaviour.drop("addtocart_ratio")
+    assert {r.visitorid: r.cluster_id for r in ops.segment_users(segments, partly).collect()} == whole
+    gaps = behaviour.withColumns(
+        {
+            "total_views": F.when(F.col("visitorid") % 3 != 0, F.col("total_views")),
+            "view_ratio": F.when(F.col("visitorid") % 3 != 1, F.col("view_ratio")).otherwise(F.lit(float("nan"))),
+        }
+    )
+    got = {r.visitorid: r.cluster_id for r in ops.segment_users(segments, gaps).collect()}
+    assert got == {v: c if v % 3 == 2 else None for v, c in whole.items()}
+
+
 def test_segments_of_requests(spark, segments):
     rows = [
         ("plain", 60, 45, 6, 3, 0.75, 0.10, 0.0667),
