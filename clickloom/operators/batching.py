@@ -14,20 +14,20 @@ between the passes.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import batch_file_name
 from clickloom.schema import BATCH_SIZE
 
-_KEYS = ["_bucket", "_tie_bucket"]
+_KEYS = ["_gap", "_bucket"]
 _BUCKETS_PER_PARTITION = 8
-_SAMPLES_PER_BUCKET = 100
-_EXACT_DOUBLE = 2.0**53
+_SAMPLES_PER_BUCKET = 64
+_HOT_BUCKETS = 4
 
 
 def assign_batches(
@@ -41,6 +41,9 @@ def assign_batches(
     ``order_by`` is one numeric column, or two when the first has ties; together they
     must be unique and not null, else the job stops or the cut depends on chance.
     ``rows_before`` continues the numbering of rows landed earlier.
+
+    The call starts two jobs over the order columns: a count, and a sample whose size
+    follows the shuffle width and not the data.
     """
     if size < 1:
         raise ValueError(f"size must be positive, not {size}")
@@ -66,19 +69,24 @@ def _div(rows: Column, size: int) -> Column:
     return F.call_function("div", rows, F.lit(size))
 
 
-def _order_key(column: str) -> Column:
-    """The column as a double, which keeps its order; a missing key stops the job."""
-    return F.when(
-        F.col(column).isNull(), F.raise_error(F.lit(f"order column {column} is null")).cast("double")
-    ).otherwise(F.col(column).cast("double"))
+def _checked(df: DataFrame, order: list[str]) -> DataFrame:
+    """A missing or NaN key stops the job."""
+    columns = {}
+    for c in order:
+        bad = F.col(c).isNull()
+        if dict(df.dtypes)[c] in ("double", "float"):
+            bad |= F.isnan(c)
+        message = F.raise_error(F.lit(f"order column {c} is null or NaN")).cast(df.schema[c].dataType)
+        columns[c] = F.when(bad, message).otherwise(F.col(c))
+    return df.withColumns(columns)
 
 
 def _rows_before_bucket(bucketed: DataFrame) -> DataFrame:
     """``_before`` per bucket and ``_total``.
 
-    The unpartitioned windows run over one row per bucket, whose number is fixed by the
-    session's shuffle width and not by the data; the same bound makes the result safe to
-    broadcast.
+    The unpartitioned windows run over one row per bucket, of which there are at most twice
+    ``_BUCKETS_PER_PARTITION`` times the session's shuffle width, whatever the data; the
+    same bound makes the result safe to broadcast.
     """
     earlier = Window.orderBy(*_KEYS).rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -95,51 +103,71 @@ def _rows_before_bucket(bucketed: DataFrame) -> DataFrame:
 def _with_buckets(df: DataFrame, order: list[str]) -> DataFrame:
     """Add the bucket keys: monotone in the order, and near equal in rows.
 
-    Buckets follow the quantiles of the first order column. A value that fills several
-    quantiles by itself (a burst within one timestamp, a topic partition) gets a bucket
-    of its own, and that bucket is split again by the quantiles of the tie-break.
+    A sample of fixed size decides the cuts. A value of the first order column that fills
+    ``_HOT_BUCKETS`` buckets or more by itself (a burst within one timestamp, a topic
+    partition) gets as many buckets of its own, at quantiles of its own tie-breaks. Such
+    values are told by equality, so it doesn't matter how large they are. All other rows
+    are cut at quantiles of the first column, within the gaps that those values leave.
+
+    With ``n`` buckets asked for, the values have at most ``n`` in all, there are at most
+    ``n / _HOT_BUCKETS`` of them, and the gaps add no more than the cuts that the values
+    take and two for each: never more than ``2 n``.
     """
     buckets = _BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = min(1.0, _SAMPLES_PER_BUCKET * buckets / max(1, df.count()))
-    keyed = df.withColumn("_lead", _order_key(order[0]))
-    cuts = _cuts(keyed, "_lead", buckets, share)
-    hot = []
-    if len(order) == 2:
-        hot = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a) < _EXACT_DOUBLE})
-    splits = set(cuts).union(math.nextafter(v, math.inf) for v in hot)
-    keyed = _bucketize(keyed, "_lead", "_bucket", splits)
+    checked = _checked(df, order)
+    keys = checked.select(*order)
+    sample = (keys.sample(share, seed=0) if share < 1 else keys).toPandas()
+    lead_cuts, hot = _cuts(sample, order, buckets)
+    lead = F.col(order[0]).cast("double")
+    cut = _at_or_below(lead, F.lit(lead_cuts).cast("array<double>"), len(lead_cuts))
     if not hot:
-        return keyed.drop("_lead").withColumn("_tie_bucket", F.lit(0.0))
-
-    keyed = keyed.withColumn("_tie", _order_key(order[1]))
-    is_hot = F.col("_lead").isin(hot)
-    tie_cuts = _cuts(keyed.filter(is_hot), "_tie", buckets, share)
+        return checked.withColumn("_gap", F.lit(0)).withColumn("_bucket", cut)
+
+    values = F.lit(list(hot)).cast(f"array<{dict(df.dtypes)[order[0]]}>")
+    below = _at_or_below(F.col(order[0]), values, len(hot))
+    is_hot = F.coalesce(F.get(values, F.col("_below") - 1) == F.col(order[0]), F.lit(False))
+    tie_cuts = F.array(*[F.lit(c).cast("array<double>") for c in hot.values()])
+    most = max(map(len, hot.values()))
+    tie = _at_or_below(F.col(order[1]).cast("double"), F.get(tie_cuts, F.col("_below") - 1), most)
     return (
-        _bucketize(keyed, "_tie", "_split", set(tie_cuts))
-        .withColumn("_tie_bucket", F.when(is_hot, F.col("_split")).otherwise(F.lit(0.0)))
-        .drop("_lead", "_tie", "_split")
+        checked.withColumn("_below", below)
+        .withColumn("_gap", 2 * F.col("_below") - F.when(is_hot, 1).otherwise(0))
+        .withColumn("_bucket", F.when(is_hot, tie).otherwise(cut))
+        .drop("_below")
     )
 
 
-def _cuts(df: DataFrame, column: str, parts: int, share: float) -> list[float]:
-    """Inner boundaries of ``parts`` near equal parts, from a share of the keys.
+def _cuts(sample: pd.DataFrame, order: list[str], buckets: int) -> tuple[list[float], dict]:
+    """Inner boundaries for the first column, and those of the tie-breaks of each hot value, in order.
 
-    Like the boundaries of a range partitioning they come from a sample, whose size depends
-    on ``parts`` alone: quantiles are merged in one task. A sample decides only how evenly
-    the buckets are filled; every row is put into one and numbered.
+    A sample decides only how evenly the buckets are filled; every row is put into one and numbered.
     """
-    keys = df.select(column)
-    if share < 1.0:
-        keys = keys.sample(share, seed=0)
-    return keys.approxQuantile(column, [i / parts for i in range(1, parts)], 0.25 / parts)
-
-
-def _bucketize(df: DataFrame, column: str, output: str, inner: set[float]) -> DataFrame:
-    """A binary search over the boundaries, inside the JVM. NaN stops the job."""
-    splits = [-math.inf, *sorted(inner - {math.inf, -math.inf}), math.inf]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    return Bucketizer(splits=splits, inputCol=column, outputCol=output, handleInvalid="error").transform(df)
+    if not len(sample):
+        return [], {}
+    lead = sample[order[0]]
+    hot = {}
+    if len(order) == 2:
+        filled = lead.value_counts() * buckets // len(lead)
+        for value, own in filled[filled >= _HOT_BUCKETS].sort_index().items():
+            ties = np.sort(sample.loc[lead == value, order[1]].to_numpy().astype(float))
+            hot[value.item() if hasattr(value, "item") else value] = _quantiles(ties, int(own))
+    return _quantiles(np.sort(lead.to_numpy().astype(float)), buckets), hot
+
+
+def _quantiles(ordered: np.ndarray, parts: int) -> list[float]:
+    at = np.arange(1, parts) * len(ordered) // parts
+    return np.unique(ordered[at]).tolist()
+
+
+def _at_or_below(value: Column, ordered: Column, most: int) -> Column:
+    """How many of at most ``most`` ordered numbers are not above the value, by halving."""
+    steps = [1 << k for k in reversed(range(most.bit_length()))]
+    return F.aggregate(
+        F.lit(steps).cast("array<int>"),
+        F.lit(0),
+        lambda found, step: F.when(F.get(ordered, found + step - 1) <= value, found + step).otherwise(found),
+    )
 
 
 def select_batches(df: DataFrame, start: int, end: int, include_final: bool = False) -> DataFrame:

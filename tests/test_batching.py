@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clickloom import operators as ops
-from clickloom.operators.batching import _with_buckets
+from clickloom.operators.batching import _BUCKETS_PER_PARTITION, _KEYS, _with_buckets
 
 
 def brute_force(keys, size, before=0):
@@ -74,17 +74,44 @@ def test_no_bucket_is_hot(spark):
         .alias("lead"),
         F.col("id").alias("tie"),
     )
-    largest = _with_buckets(df, ["lead", "tie"]).groupBy("_bucket", "_tie_bucket").count().agg(F.max("count"))
+    largest = _with_buckets(df, ["lead", "tie"]).groupBy(*_KEYS).count().agg(F.max("count"))
     assert largest.first()[0] <= n / 32 * 3
 
 
+def _bucket_rows(df, order):
+    return [r["count"] for r in _with_buckets(df, order).groupBy(*_KEYS).count().collect()]
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 60, 500])
+def test_buckets_are_bounded_with_topic_partitions(spark, partitions):
+    n = 60_000
+    df = spark.range(n).select((F.col("id") % partitions).alias("partition"), F.floor(F.col("id") / partitions).alias("offset"))
+    rows = _bucket_rows(df, ["partition", "offset"])
+    buckets = _BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(rows) <= 2 * buckets
+    assert max(rows) <= 8 * n / buckets
+
+
+def test_hot_nanoseconds(spark):
+    """Half of the rows in one value beyond 2**53, where neighbours are one double."""
+    n, start = 90_000, 1_700_000_000_000_000_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, start + 45_001).otherwise(start + F.col("id")).alias("ns"), F.col("id").alias("tie")
+    )
+    rows = _bucket_rows(df, ["ns", "tie"])
+    buckets = _BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(rows) <= 2 * buckets
+    assert max(rows) <= 8 * n / buckets
+    check(df, ["ns", "tie"], 1000)
+
+
 def test_no_rows(numbered_log):
     assert ops.assign_batches(numbered_log(0), "event_id").isEmpty()
 
 
 def test_missing_key_stops_the_job(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "k long")
-    with pytest.raises(Exception, match="order column k is null"):
+    with pytest.raises(Exception, match="order column k is null or NaN"):
         ops.assign_batches(df, "k").collect()
 
 
