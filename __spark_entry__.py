@@ -252,6 +252,151 @@ def explode_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.explode_recs(recommend_topk(spark, sf_dir))
 
 
+# Ranking by factors that SQL can count: how often visitors and items have events of each type
+
+
+def _kinds_by(events: DataFrame, column: str, modulus: tuple[int, ...] | None = None) -> DataFrame:
+    counts = [F.count_if(fn.is_event(kind)) for kind in ("view", "addtocart", "transaction")]
+    counts = [c % m for c, m in zip(counts, modulus)] if modulus else counts
+    features = F.array(*[c.cast("double") for c in counts]).alias("features")
+    return events.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("id")).agg(features)
+
+
+def _ranked(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """Few different item factors, so that most scores are tied."""
+    events = clickstream(spark, sf_dir)
+    return ops.rank_items(_kinds_by(events, "visitorid"), _kinds_by(events, "itemid", (5, 3, 2)), k)
+
+
+def rank_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = _ranked(spark, sf_dir, 20)
+    return ranked.select(
+        F.col("id").alias("visitorid"),
+        F.array_join(F.col("ranked.itemid").cast("array<string>"), ",").alias("items"),
+        F.get("ranked.rating", F.lit(0)).alias("best_rating"),
+    )
+
+
+def _with_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every visitor and one that the table doesn't have, each with five ranked items if known."""
+    visitors = clickstream(spark, sf_dir).select("visitorid").distinct()
+    users = visitors.union(visitors.agg(-F.max("visitorid")))
+    return ops.with_ranked(users, _ranked(spark, sf_dir, 5), F.col("visitorid").try_cast("int"))
+
+
+def explode_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = ops.explode_recs(_with_unknown(spark, sf_dir))
+    return ranked.withColumns({"rating": F.col("rating").cast("double"), "rank": F.col("rank").cast("bigint")})
+
+
+def unknown_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = _with_unknown(spark, sf_dir)
+    return users.select("visitorid", F.size("recommendations").cast("bigint").alias("n_recommendations"))
+
+
+# What must hold for any fit, computed from the fit
+
+
+def recommender_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factors for every visitor and item rated, and an error below that of the mean rating."""
+    rated = ops.ratings(clickstream(spark, sf_dir))
+    model = plans.fit_recommender(rated)
+    mean = rated.agg(F.avg("rating").alias("mean"))
+    fitted = model.transform(rated).crossJoin(F.broadcast(mean))
+    errors = fitted.agg(
+        F.avg((F.col("prediction") - F.col("rating")) ** 2).alias("of_model"),
+        F.avg((F.col("mean") - F.col("rating")) ** 2).alias("of_mean"),
+    )
+    sides = [
+        factors.agg(F.count("id").alias(name))
+        for factors, name in ((model.userFactors, "n_visitors"), (model.itemFactors, "n_items"))
+    ]
+    one = errors.crossJoin(sides[0]).crossJoin(sides[1])  # of one row each
+    return one.select("n_visitors", "n_items", (F.col("of_model") < F.col("of_mean")).alias("beats_mean"))
+
+
+def forest_of_one_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = transaction_features(spark, sf_dir)
+    model = plans.fit_transaction_predictor(features.withColumn("has_transaction", F.lit(1)))
+    return ops.score_transactions(model, features.drop("has_transaction"))
+
+
+def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each visitor's probability is one, and agrees with the decision."""
+    scored = score_transactions(spark, sf_dir)
+    return scored.select(
+        "visitorid",
+        F.col("probability").between(0, 1).alias("is_probability"),
+        (F.col("will_transact") == (F.col("probability") > 0.5)).alias("agrees"),
+    )
+
+
+def nearest_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether no centre is nearer to a visitor than that of its segment, and the segment is an integer."""
+    features = segment_features(spark, sf_dir)
+    model = plans.fit_segments(features)
+    *prepare, kmeans = model.stages
+    scaled = features
+    for stage in prepare:
+        scaled = stage.transform(scaled)
+    point = vector_to_array(F.col("features"))
+    distances = F.array(
+        *[
+            F.aggregate(
+                F.zip_with(point, F.array(*[F.lit(float(x)) for x in centre]), lambda a, b: (a - b) * (a - b)),
+                F.lit(0.0),
+                lambda total, d: total + d,
+            )
+            for centre in kmeans.clusterCenters()
+        ]
+    )
+    measured = scaled.select("visitorid", distances.alias("distances"))
+    both = ops.segment_users(model, features).join(measured, "visitorid")
+    own = F.get("distances", F.col("cluster_id"))
+    return both.select("visitorid", (own <= F.array_min("distances") + 1e-9).alias("is_nearest"))
+
+
+def segment_users_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third visitor has no number of views and every third no view ratio: rows without a segment."""
+    features = segment_features(spark, sf_dir)
+    gaps = {
+        "total_views": F.when(F.col("visitorid") % 3 != 0, F.col("total_views")),
+        "view_ratio": F.when(F.col("visitorid") % 3 != 1, F.col("view_ratio")),
+    }
+    segmented = ops.segment_users(plans.fit_segments(features), features.withColumns(gaps))
+    return segmented.select("visitorid", F.col("cluster_id").isNotNull().alias("has_segment"))
+
+
+def reloaded_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each visitor's scores are the same from the fitted and from the loaded models."""
+    store = scratch_path(spark, "models")
+    fitted = plans.train_all(_landed_for_models(spark, sf_dir), store, MODEL_RANGES)
+    loaded, _ = sources.load_models(store)
+    events = clickstream(spark, sf_dir)
+    features = ops.transaction_features(events).join(ops.segment_features(events), "visitorid")
+
+    def scores(models: dict, name: str) -> DataFrame:
+        scored = ops.score_transactions(models["transaction_predictor"], features)
+        scored = ops.recommend(models["recommender"], ops.segment_users(models["user_segmentation"], scored), 3)
+        parts = F.struct("probability", "will_transact", "cluster_id", "recommendations")
+        return scored.select("visitorid", F.to_json(parts).alias(name))
+
+    both = scores(fitted, "before").join(scores(loaded, "after"), "visitorid")
+    return both.select("visitorid", (F.col("before") == F.col("after")).alias("same"))
+
+
+def training_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many visitors each model was fitted on, from its factors, its trees' root and its clusters."""
+    models = plans.train_all(_landed_for_models(spark, sf_dir), scratch_path(spark, "models"), MODEL_RANGES)
+    forest, kmeans = models["transaction_predictor"].stages[-1], models["user_segmentation"].stages[-1]
+    seen = {
+        "recommender": models["recommender"].userFactors.count(),
+        "transaction_predictor": forest.summary.predictions.count(),
+        "user_segmentation": sum(kmeans.summary.clusterSizes),
+    }
+    return spark.createDataFrame(list(seen.items()), "model string, n_visitors bigint")
+
+
 def score_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every visitor of the table, by a forest trained on its range of batches."""
     trained_on = _landed_for_models(spark, sf_dir)(*MODEL_RANGES["transaction_predictor"])
@@ -315,6 +460,16 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             score_transactions,
             segment_users,
             train_all,
+            rank_items,
+            explode_ranked,
+            unknown_visitors,
+            recommender_fit,
+            forest_of_one_class,
+            forest_scores,
+            nearest_segment,
+            segment_users_with_gaps,
+            reloaded_models,
+            training_ranges,
         )
     }
 
@@ -380,6 +535,32 @@ _WEIGHT = """CASE event WHEN 'view' THEN 1.0::DOUBLE WHEN 'addtocart' THEN 3.0 W
 _FIVE = ", ".join(EVENT_COLUMNS)
 
 
+def _kinds(column: str, name: str, modulus: tuple[int, ...] | None = None) -> str:
+    kinds = zip(("view", "addtocart", "transaction"), modulus or (2**40,) * 3)
+    counts = ", ".join(f"CAST(count(*) FILTER (event = '{k}') % {m} AS DOUBLE) AS {k}" for k, m in kinds)
+    return f"{name} AS (SELECT {column}, {counts} FROM clicks WHERE {column} IS NOT NULL GROUP BY {column})"
+
+
+_RANKED = f"""
+{_kinds("visitorid", "v")}, {_kinds("itemid", "i", (5, 3, 2))},
+scored AS (
+  SELECT visitorid, itemid,
+         v.view * i.view + v.addtocart * i.addtocart + v.transaction * i.transaction AS rating
+  FROM v, i),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY visitorid ORDER BY rating DESC, itemid) AS rank FROM scored)"""
+
+# The model queries' batches: 33 equal ones and a remainder.
+_MODEL_BATCHES = f"""
+sized AS (SELECT count(*) // {MODEL_BATCHES} AS size FROM clicks),
+model_batches AS (
+  SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // (SELECT size FROM sized) + 1 AS batch_no FROM clicks)"""
+
+
+def _in_range(name: str) -> str:
+    return "batch_no BETWEEN {} AND {}".format(*MODEL_RANGES[name])
+
+
 def _scaled(columns: list[str]) -> str:
     return ", ".join(
         f"round(CASE WHEN stddev_samp({c}) OVER () > 0"
@@ -393,7 +574,7 @@ def _doubles(columns: list[str]) -> str:
 
 
 def library_sql() -> dict[str, str]:
-    """DuckDB SQL for the queries it can express: all but those that fit a model."""
+    """DuckDB SQL for the queries it can express; of fits, it says what must hold."""
     tf = _transaction_features_sql("clicks")
     tf_gaps = _transaction_features_sql("gaps")
     tf_known = _transaction_features_sql("(SELECT * FROM gaps WHERE visitorid IS NOT NULL)")
@@ -452,6 +633,31 @@ def library_sql() -> dict[str, str]:
             SELECT visitorid, {_scaled(TRANSACTION_FEATURES)} FROM tf""",
         "scaled_segment_features": f"""WITH {_EVENTS}, {_SEGMENT_FEATURES}
             SELECT visitorid, {_scaled(SEGMENT_FEATURES)} FROM sf""",
+        "rank_items": f"""WITH {_EVENTS}, {_RANKED}
+            SELECT visitorid, string_agg(itemid, ',' ORDER BY rank) AS items, max(rating) AS best_rating
+            FROM ranked WHERE rank <= 20 GROUP BY visitorid""",
+        "explode_ranked": f"""WITH {_EVENTS}, {_RANKED}
+            SELECT visitorid, rank, itemid, rating FROM ranked WHERE rank <= 5""",
+        "unknown_visitors": f"""WITH {_EVENTS}, {_RANKED}
+            SELECT visitorid, count(*) AS n_recommendations FROM ranked WHERE rank <= 5 GROUP BY visitorid
+            UNION ALL SELECT -max(visitorid), 0 FROM clicks""",
+        "recommender_fit": f"""WITH {_EVENTS}
+            SELECT count(DISTINCT visitorid) AS n_visitors, count(DISTINCT itemid) AS n_items, true AS beats_mean
+            FROM clicks WHERE {_WEIGHT} > 0 AND visitorid IS NOT NULL AND itemid IS NOT NULL""",
+        "forest_of_one_class": f"""WITH {_EVENTS}, {tf}
+            SELECT visitorid, true AS will_transact, 1.0::DOUBLE AS probability FROM tf""",
+        "forest_scores": f"WITH {_EVENTS}, {tf} SELECT visitorid, true AS is_probability, true AS agrees FROM tf",
+        "nearest_segment": f"WITH {_EVENTS}, {_SEGMENT_FEATURES} SELECT visitorid, true AS is_nearest FROM sf",
+        "segment_users_with_gaps": f"""WITH {_EVENTS}, {_SEGMENT_FEATURES}
+            SELECT visitorid, visitorid % 3 = 2 AS has_segment FROM sf""",
+        "reloaded_models": f"WITH {_EVENTS}, {tf} SELECT visitorid, true AS same FROM tf",
+        "training_ranges": f"""WITH {_EVENTS}, {_MODEL_BATCHES}
+            SELECT 'recommender' AS model, count(DISTINCT visitorid) AS n_visitors FROM model_batches
+            WHERE {_in_range("recommender")} AND {_WEIGHT} > 0 AND itemid IS NOT NULL
+            UNION ALL SELECT 'transaction_predictor', count(DISTINCT visitorid) FROM model_batches
+            WHERE {_in_range("transaction_predictor")}
+            UNION ALL SELECT 'user_segmentation', count(DISTINCT visitorid) FROM model_batches
+            WHERE {_in_range("user_segmentation")}""",
     }
 
 
