@@ -3,13 +3,14 @@
 A document's set holds the hashes of its distinct word shingles. Documents of one set are one
 class, and only classes are compared. Each tree sends a class down the paths that chosen
 minhash coordinates make: two classes stay together in a child where they agree on its
-coordinate. A node of at most ``LEAF`` classes is a leaf; a larger one branches again by
+coordinate. A node of at most ``LEAF`` classes and ``LEAF_SHINGLES`` shingles is a leaf; a larger one branches again by
 coordinates drawn from the node's own key, ``BRANCHES`` of them on average, and what is still
 larger after ``DEPTH`` levels is cut into blocks of which every pair is a leaf, so that no
 pair is left out. In a leaf, sketches of one byte a coordinate pick the classes that may have
 a partner; those of all leaves, each group once, are then compared exhaustively on their full
 sets. Links of a group leave it as a forest, so a group of copies gives no more links than
-members. Independent trees repeat the search: a pair at the threshold is missed at all
+members. The joins are sort-merge joins at every size, so that a small input shows what a
+large one will shuffle. Independent trees repeat the search: a pair at the threshold is missed at all
 ``TREES`` first levels with a chance of about 1e-10, and a few in a million in nodes that
 branch to the end.
 
@@ -42,7 +43,9 @@ SHINGLE = 4
 COORDINATES = 64
 TREES = 12
 BRANCHES = 1.25
-LEAF = 128
+LEAF = 2048
+#: Shingles that the classes of a leaf have together, at most.
+LEAF_SHINGLES = 1 << 22
 DEPTH = 10
 #: Agreeing coordinates of 64 that a pair needs to be compared; at 80 percent, fewer come up once in a million pairs.
 AGREE = 36
@@ -154,25 +157,26 @@ def _chosen(node: Column, branch: int, coordinates: int) -> Column:
 
 
 def _grown(rows: DataFrame, coordinates: int) -> DataFrame:
-    """``node, fp`` of the children of ``node, fp, mh``."""
+    """``node, fp, n`` of the children of ``node, fp, n, mh``."""
     first, second = (_chosen(F.col("node"), branch, coordinates) for branch in (1, 2))
     share = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * (BRANCHES - 1))
     children = F.array(
         _child(F.col("node"), first, F.col("mh")),
         F.when(share & (second != first), _child(F.col("node"), second, F.col("mh"))),
     )
-    return rows.select(F.explode(F.array_compact(children)).alias("node"), "fp")
+    return rows.select(F.explode(F.array_compact(children)).alias("node"), "fp", "n")
 
 
 def _sized(rows: DataFrame, label: str) -> DataFrame:
-    """``node, size, fp`` of the rows that are not alone in their node."""
-    sizes = rows.groupBy("node").agg(F.count("fp").alias("size")).filter("size > 1").checkpoint()
-    return _saved(rows.join(sizes, "node"), label)
+    """``node, size, shingles, fp, n`` of the rows that are not alone in their node."""
+    sizes = rows.groupBy("node").agg(F.count("fp").alias("size"), F.sum("n").alias("shingles"))
+    sizes = sizes.filter("size > 1").checkpoint()
+    return _saved(rows.join(sizes.hint("merge"), "node"), label)
 
 
 def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
     """Every pair of blocks of a node that stays large, as a node of its own."""
-    blocks = F.ceil(2 * F.col("size") / leaf).cast("int")
+    blocks = F.ceil(2 * F.greatest(F.col("size") / leaf, F.col("shingles") / LEAF_SHINGLES)).cast("int")
     dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp", F.lit(5)), "blocks").cast("int"))
     paired = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     low, high = F.least("own", "other"), F.greatest("own", "other")
@@ -185,18 +189,19 @@ def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, depth: int
     roots = [
         F.xxhash64(F.lit(tree), F.lit(k), F.get("mh", F.lit(k))) for tree, k in _first_children(trees, coordinates)
     ]
-    rows = classes.select(F.explode(F.array(*roots)).alias("node"), "fp")
+    rows = classes.select(F.explode(F.array(*roots)).alias("node"), "fp", "n")
     found = None
     for level in range(1, depth + 1):
         sized = _sized(rows, f"near-level-{level}")
-        small = sized.filter(F.col("size") <= leaf).select("node", "fp")
+        is_leaf = (F.col("size") <= leaf) & (F.col("shingles") <= LEAF_SHINGLES)
+        small = sized.filter(is_leaf).select("node", "fp")
         found = small if found is None else found.unionByName(small)
-        large = sized.filter(F.col("size") > leaf)
+        large = sized.filter(~is_leaf)
         if large.isEmpty():
             return found
         if level == depth:
             return found.unionByName(_blocks(large, leaf))
-        rows = _grown(large.join(classes.select("fp", "mh"), "fp").select("node", "fp", "mh"), coordinates)
+        rows = _grown(large.join(classes.select("fp", "mh").hint("merge"), "fp").select("node", "fp", "n", "mh"), coordinates)
     return found
 
 
@@ -247,7 +252,7 @@ def _likely(agree: int):
         for _, parts in _by_key(batches):
             fps = _column(parts, 1)
             sketch = np.frombuffer(b"".join(_column(parts, 2)), np.uint8).reshape(len(fps), -1)
-            same = np.zeros((len(fps), len(fps)), np.int32)
+            same = np.zeros((len(fps), len(fps)), np.uint8)
             for k in range(sketch.shape[1]):
                 same += sketch[:, k, None] == sketch[None, :, k]
             links = same >= agree
@@ -319,13 +324,12 @@ def _links(documents: DataFrame, classes: DataFrame, trees: int, leaf: int, size
     """Links ``a, b`` between the sets of different classes."""
     pairs_of_digits = F.transform("mh", lambda x: F.lpad(F.hex(x.bitwiseAND(255)), 2, "0"))
     sketches = classes.select("fp", F.unhex(F.array_join(pairs_of_digits, "")).alias("sketch"))
-    members = leaves(classes, trees, leaf).join(sketches, "fp").select("node", "fp", "sketch")
+    members = leaves(classes, trees, leaf).join(sketches.hint("merge"), "fp").select("node", "fp", "sketch")
     groups = members.repartition("node").sortWithinPartitions("node").mapInArrow(_likely(AGREE), "gid binary, fp binary")
     groups = _saved(groups.dropDuplicates(["gid", "fp"]), "near-groups")
     packed = documents.select(text_udf(_text_packer(size), PACKED)(F.col("text")).alias("p")).select("p.*")
     packed = packed.filter("fp IS NOT NULL").groupBy("fp").agg(F.first("packed").alias("packed"))
-    needed = packed.join(groups.select("fp").distinct(), "fp", "left_semi")
-    met = groups.join(needed, "fp").select("gid", "fp", "packed")
+    met = groups.join(packed.hint("merge"), "fp").select("gid", "fp", "packed")
     return met.repartition("gid").sortWithinPartitions("gid").mapInArrow(_compared(size, percent), "a binary, b binary")
 
 
@@ -348,19 +352,23 @@ def near_duplicates(
     known = F.when(F.col("doc_id").isNotNull(), F.col("s.fp"))
     signed = signed.select("doc_id", *carried, F.col("s.n").alias("n"), known.alias("fp"), F.col("s.mh").alias("mh"))
     ids = _saved(signed, "near-ids")
-    classes = ids.filter("fp IS NOT NULL").groupBy("fp").agg(F.first("mh").alias("mh"), F.min("doc_id").alias("first_id"))
+    classes = (
+        ids.filter("fp IS NOT NULL")
+        .groupBy("fp")
+        .agg(F.first("mh").alias("mh"), F.first("n").cast("int").alias("n"), F.min("doc_id").alias("first_id"))
+    )
     classes = _saved(classes, "near-classes")
     with_id = own.filter("doc_id IS NOT NULL")
-    links = _links(with_id, classes.select("fp", "mh"), trees, leaf, size, percent)
+    links = _links(with_id, classes.select("fp", "n", "mh"), trees, leaf, size, percent)
     labels = components(_saved(links.distinct(), "near-links")).withColumnRenamed("vertex", "fp")
-    labelled = classes.select("fp", "first_id").join(labels, "fp", "left")
+    labelled = classes.select("fp", "first_id").join(labels.hint("merge"), "fp", "left")
     alone = labelled.filter("label IS NULL").select("fp", F.col("first_id").alias("component_id"))
     grouped = labelled.filter("label IS NOT NULL")
     least = grouped.groupBy("label").agg(F.min("first_id").alias("component_id")).checkpoint()
-    component = alone.unionByName(grouped.join(least, "label").select("fp", "component_id")).checkpoint()
+    component = alone.unionByName(grouped.join(least.hint("merge"), "label").select("fp", "component_id")).checkpoint()
     return (
         ids.select("doc_id", *carried, "n", "fp")
-        .join(component, "fp", "left")
+        .join(component.hint("merge"), "fp", "left")
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
