@@ -2,6 +2,7 @@ from clickloom.functions.columns import (
     batch_file_name,
     event_weight,
     is_event,
+    lost_id,
     positive_probability,
     restored_id,
     safe_ratio,
@@ -11,6 +12,7 @@ __all__ = [
     "batch_file_name",
     "event_weight",
     "is_event",
+    "lost_id",
     "positive_probability",
     "restored_id",
     "safe_ratio",

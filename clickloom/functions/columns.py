@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.schema import EVENT_WEIGHTS
 
@@ -28,13 +29,22 @@ def safe_ratio(numerator: str, denominator: str) -> Column:
     return F.when(F.col(denominator) > 0, F.col(numerator) / F.col(denominator)).otherwise(F.lit(0.0))
 
 
-def restored_id(column: str | Column) -> Column:
-    """A 64-bit id from text such as ``4000``, ``4000.0``, ``NaN`` or nothing.
+def restored_id(column: str | Column, kind: T.DataType = T.LongType()) -> Column:
+    """An id from text such as ``4000``, ``4000.0``, ``NaN`` or nothing; null for what is no id.
 
-    Going through decimal keeps ids beyond 2**53 exact, which a double would not.
+    Going through decimal keeps ids beyond 2**53 exact, which a double would not. A number
+    with a fraction is no id.
     """
     text = F.col(column) if isinstance(column, str) else column
-    return text.try_cast("decimal(38,4)").try_cast("bigint")
+    number = text.try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), number.try_cast(kind))
+
+
+def lost_id(column: str | Column, kind: T.DataType = T.LongType()) -> Column:
+    """Whether the text, quoted or not, stands for an id that can't be restored."""
+    text = F.col(column) if isinstance(column, str) else column
+    bare = F.lower(F.btrim(text, F.lit('" ')))
+    return F.coalesce((bare != "nan") & (bare != "") & restored_id(text, kind).isNull(), F.lit(False))
 
 
 def positive_probability(column: str = "probability") -> Column:

@@ -17,7 +17,7 @@ from clickloom import plans, sources
 from clickloom.plans.training import DEFAULT_BLOCKS, TRAINING_RANGES
 from clickloom.schema import BATCH_SIZE
 from clickloom.session import get_session
-from clickloom.streaming import land_stream
+from clickloom.streaming import BAD_COLUMN, land_stream
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -25,8 +25,10 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    stream = sources.stream_events(spark, args.servers, args.topic)
-    land_stream(stream, args.table, args.checkpoint, size=args.size).awaitTermination()
+    how = {"mode": "PERMISSIVE", "bad": BAD_COLUMN} if args.bad_messages else {}
+    stream = sources.stream_events(spark, args.servers, args.topic, **how)
+    query = land_stream(stream, args.table, args.checkpoint, size=args.size, bad_path=args.bad_messages)
+    query.awaitTermination()
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -86,6 +88,7 @@ def _parser() -> argparse.ArgumentParser:
     step(publish, "csv", "topic", "servers", text="send a file of events to a topic")
     command = step(land, "servers", "topic", "table", "checkpoint", text="land what a topic has in batches")
     command.add_argument("--size", type=int, default=BATCH_SIZE)
+    command.add_argument("--bad-messages", help="table for broken messages, which otherwise stop the job")
 
     command = with_events(step(train, "models", text="fit and save the three models"))
     command.add_argument("--blocks", type=int, default=DEFAULT_BLOCKS, help="blocks of ratings on either side")

@@ -16,13 +16,11 @@ EVENT_SCHEMA = T.StructType(
 )
 EVENT_COLUMNS = EVENT_SCHEMA.fieldNames()
 
-# Producers that hold the optional id as a float write 4000.0 or NaN, so files and
-# messages are read with the id as text and restored exactly afterwards.
+# Producers that hold ids as floats, as they must where one is missing, write 4000.0 or NaN;
+# so files and messages are read with ids as text and restored exactly afterwards.
+ID_TYPES = {f.name: f.dataType for f in EVENT_SCHEMA.fields if f.name.endswith("id")}
 WIRE_SCHEMA = T.StructType(
-    [
-        T.StructField(f.name, T.StringType() if f.name == "transactionid" else f.dataType)
-        for f in EVENT_SCHEMA.fields
-    ]
+    [T.StructField(f.name, T.StringType() if f.name in ID_TYPES else f.dataType) for f in EVENT_SCHEMA.fields]
 )
 
 # Known event types and the rating each one stands for.

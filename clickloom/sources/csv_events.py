@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions import batch_file_name, restored_id
-from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, WIRE_SCHEMA
+from clickloom.functions import batch_file_name, lost_id, restored_id
+from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA, ID_TYPES, WIRE_SCHEMA
 from clickloom.sources.files import child_names
 
 log = logging.getLogger(__name__)
@@ -45,10 +45,10 @@ def corrupt_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     misfits = [
         F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
         for f in WIRE_SCHEMA.fields
-        if f.name != "transactionid"
+        if f.name not in ID_TYPES
     ]
-    lost_id = (F.lower("transactionid") != "nan") & restored_id("transactionid").isNull()
-    bad = reduce(Column.__or__, misfits, F.col(_CORRUPT).isNotNull() | lost_id)
+    misfits += [lost_id(name, kind) for name, kind in ID_TYPES.items()]
+    bad = reduce(Column.__or__, misfits, F.col(_CORRUPT).isNotNull())
     return lines.agg(F.count("*").alias("n_rows"), F.count_if(bad).alias("n_corrupt"))
 
 
@@ -98,7 +98,7 @@ def _reader(spark: SparkSession, schema: T.StructType):
 
 
 def _restored(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("transactionid", restored_id("transactionid"))
+    return lines.withColumns({name: restored_id(name, kind) for name, kind in ID_TYPES.items()})
 
 
 def _as_list(paths: str | Sequence[str]) -> list[str]:

@@ -3,14 +3,19 @@
 Layout below the table's path::
 
     events/epoch=E/slice=S/*.parquet    E: one landing, S: a range of batch numbers
-    log/epoch=E/*.json                  rows in the table up to and with landing E
+    log/epoch=E/*.json                  what landing E added, and rows in the table with it
+    log_compact/through=E/*.json        the entries up to and with E in one file
 
 Batches may be small and many, so they have no folder of their own: a slice holds
 ``BATCHES_PER_SLICE`` of them, sorted, and a range of batches is found by partition
 pruning on the slice and row-group pruning on ``batch_no``. Readers see a landing only
-when its log entry is written. A landing that is tried again overwrites its own epoch
-folder with the same rows, or finds itself logged and leaves it, so a crash neither loses
-nor repeats any. A table takes one writer at a time.
+when its log entry is written. Epochs are numbered from the log. An entry names its writer
+and the writer's own step, so a landing that is tried again overwrites its own epoch folder
+with the same rows, or finds itself logged and leaves it: a crash neither loses nor repeats
+any. It also has the batches it touched, so a range reads only the epochs that hold some of
+it. Every ``COMPACT_AFTER`` landings the entries are gathered in one file; those gathered
+the time before are then deleted, so a reader that has just listed them still finds its
+files. A table takes one writer at a time.
 """
 
 from __future__ import annotations
@@ -18,15 +23,15 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.operators.batching import assign_batches
 from clickloom.schema import BATCH_SIZE, EVENT_COLUMNS, EVENT_SCHEMA
-from clickloom.sources.files import child_names
+from clickloom.sources.files import child_names, delete_folder
 
 log = logging.getLogger(__name__)
 
@@ -40,7 +45,11 @@ _LANDED_SCHEMA = T.StructType(
         T.StructField("slice", T.LongType()),
     ]
 )
-_LOG_SCHEMA = "total_rows long, size long, batches_per_slice long, writer string"
+_LOG_SCHEMA = (
+    "epoch long, total_rows long, size long, batches_per_slice long, writer string, step long,"
+    " first_batch long, last_batch long"
+)
+COMPACT_AFTER = 50
 
 
 @dataclass(frozen=True)
@@ -50,6 +59,9 @@ class LogEntry:
     size: int
     batches_per_slice: int
     writer: str
+    step: int
+    first_batch: int
+    last_batch: int
 
     @property
     def full_batches(self) -> int:
@@ -64,9 +76,7 @@ def land_batches(
     batches_per_slice: int = BATCHES_PER_SLICE,
 ) -> None:
     """Append the events of ``df``; numbering goes on where the table ends."""
-    newest = newest_entry(df.sparkSession, path)
-    epoch = newest.epoch + 1 if newest else 0
-    land_epoch(df, path, order_by, size, epoch, f"job-{uuid.uuid4().hex}", batches_per_slice)
+    land_epoch(df, path, order_by, size, 0, f"job-{uuid.uuid4().hex}", batches_per_slice)
 
 
 def land_epoch(
@@ -74,49 +84,45 @@ def land_epoch(
     path: str,
     order_by: str | Sequence[str],
     size: int,
-    epoch: int,
+    step: int,
     writer: str,
     batches_per_slice: int = BATCHES_PER_SLICE,
 ) -> None:
-    """Land ``df`` as one epoch; doing so again with the same rows changes nothing.
+    """Land ``df`` as step ``step`` of a writer, whose steps rise; doing so again changes nothing.
 
     ``df`` is computed more than once and must give the same rows each time.
     """
     spark = df.sparkSession
+    done = log_entries(spark, path).filter(F.col("writer") == writer).agg(F.max("step")).first()[0]
+    if done is not None and done >= step:
+        return
     newest = newest_entry(spark, path)
-    before = 0
+    epoch, before = 0, 0
     if newest:
-        if (newest.epoch, newest.writer) == (epoch, writer):
-            return
-        if newest.epoch >= epoch:
-            raise ValueError(f"{path} already holds epoch {newest.epoch} of another writer")
         if (newest.size, newest.batches_per_slice) != (size, batches_per_slice):
             raise ValueError(
                 f"{path} has batches of {newest.size} rows, {newest.batches_per_slice} to a slice"
             )
-        before = newest.total_rows
+        epoch, before = newest.epoch + 1, newest.total_rows
 
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    target = f"{path}/events/epoch={epoch}"
+    landed = Observation()
     (
         assign_batches(df, order, size, rows_before=before)
         .withColumn("slice", F.call_function("div", F.col("batch_no") - 1, F.lit(batches_per_slice)))
         .sortWithinPartitions("slice", "batch_no")
         .select(*EVENT_COLUMNS, "batch_no", "slice")
+        .observe(landed, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .partitionBy("slice")
-        .parquet(target)
+        .parquet(f"{path}/events/epoch={epoch}")
+    )
+    total = before + landed.get["rows"]
+    entry = LogEntry(epoch, total, size, batches_per_slice, writer, step, before // size + 1, -(-total // size))
+    spark.createDataFrame([astuple(entry)], _LOG_SCHEMA).coalesce(1).write.mode("overwrite").json(
+        f"{path}/log/epoch={epoch}"
     )
-    landed = spark.read.schema(_LANDED_SCHEMA).parquet(target).count()
-    entry = {
-        "total_rows": before + landed,
-        "size": size,
-        "batches_per_slice": batches_per_slice,
-        "writer": writer,
-    }
-    spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.items()]).write.mode(
-        "overwrite"
-    ).json(f"{path}/log/epoch={epoch}")
+    _compact(spark, path, epoch)
 
 
 def read_batches(
@@ -144,11 +150,17 @@ def read_batches(
         log.warning("%s ends at batch %d; asked for %d to %d", path, last, start, end)
         end = last
     per_slice = newest.batches_per_slice
-    return (
+    holding = log_entries(spark, path).filter((F.col("last_batch") >= start) & (F.col("first_batch") <= end))
+    epochs = [r.epoch for r in holding.select("epoch").orderBy("epoch").collect()]
+    rows = (
         spark.read.schema(_LANDED_SCHEMA)
-        .parquet(f"{path}/events")
-        .filter(F.col("epoch") <= newest.epoch)
-        .filter(F.col("slice").between((start - 1) // per_slice, (end - 1) // per_slice))
+        .option("basePath", f"{path}/events")
+        .parquet(*[f"{path}/events/epoch={e}" for e in epochs])
+        if epochs
+        else spark.createDataFrame([], _LANDED_SCHEMA)
+    )
+    return (
+        rows.filter(F.col("slice").between((start - 1) // per_slice, (end - 1) // per_slice))
         .filter(F.col("batch_no").between(start, end))
         .select(*EVENT_COLUMNS, "batch_no", (F.col("batch_no") > newest.full_batches).alias("is_final"))
     )
@@ -156,10 +168,40 @@ def read_batches(
 
 def newest_entry(spark: SparkSession, path: str) -> LogEntry | None:
     """The last complete log entry; a crash may leave an empty folder after it."""
-    names = child_names(spark, f"{path}/log")
-    epochs = sorted((int(n.removeprefix("epoch=")) for n in names if n.startswith("epoch=")), reverse=True)
-    for epoch in epochs:
-        entry = spark.read.schema(_LOG_SCHEMA).json(f"{path}/log/epoch={epoch}").first()
-        if entry:
-            return LogEntry(epoch, *entry)
-    return None
+    newest = log_entries(spark, path).orderBy(F.col("epoch").desc()).first()
+    return LogEntry(*newest) if newest else None
+
+
+def log_entries(spark: SparkSession, path: str) -> DataFrame:
+    """All entries of the log, one row each."""
+    through = _compacted(spark, path)
+    folders = [f"{path}/log_compact/through={through}"] if through >= 0 else []
+    folders += [f"{path}/log/epoch={e}" for e in _numbered(spark, f"{path}/log", "epoch=") if e > through]
+    if not folders:
+        return spark.createDataFrame([], _LOG_SCHEMA)
+    return spark.read.schema(_LOG_SCHEMA).json(folders)
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    return sorted(int(n.removeprefix(prefix)) for n in child_names(spark, path) if n.startswith(prefix))
+
+
+def _compacted(spark: SparkSession, path: str) -> int:
+    """The last epoch of the newest complete gathering, or -1."""
+    for through in reversed(_numbered(spark, f"{path}/log_compact", "through=")):
+        if "_SUCCESS" in child_names(spark, f"{path}/log_compact/through={through}"):
+            return through
+    return -1
+
+
+def _compact(spark: SparkSession, path: str, epoch: int) -> None:
+    before = _compacted(spark, path)
+    if epoch - before < COMPACT_AFTER:
+        return
+    log_entries(spark, path).coalesce(1).write.mode("overwrite").json(f"{path}/log_compact/through={epoch}")
+    for old in _numbered(spark, f"{path}/log", "epoch="):
+        if old <= before:
+            delete_folder(spark, f"{path}/log/epoch={old}")
+    for old in _numbered(spark, f"{path}/log_compact", "through="):
+        if old < before:
+            delete_folder(spark, f"{path}/log_compact/through={old}")

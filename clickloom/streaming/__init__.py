@@ -1,3 +1,3 @@
-from clickloom.streaming.landing import land_stream
+from clickloom.streaming.landing import BAD_COLUMN, land_stream
 
-__all__ = ["land_stream"]
+__all__ = ["BAD_COLUMN", "land_stream"]

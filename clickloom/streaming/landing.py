@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.schema import BATCH_SIZE
 from clickloom.sources.landed import BATCHES_PER_SLICE, land_epoch
 
 
+#: The column with the text of a broken message, where a stream has one.
+BAD_COLUMN = "bad_message"
+
+
 def land_stream(
     stream: DataFrame,
     path: str,
@@ -20,6 +26,7 @@ def land_stream(
     size: int = BATCH_SIZE,
     batches_per_slice: int = BATCHES_PER_SLICE,
     processing_time: str | None = None,
+    bad_path: str | None = None,
 ) -> StreamingQuery:
     """Start a query that lands ``stream`` below ``path`` and return it.
 
@@ -27,23 +34,40 @@ def land_stream(
     goes on from the landing log, and a batch that a micro-batch leaves unfinished is
     filled by the next. Within a micro-batch rows are taken in ``order_by`` order. A
     restart from ``checkpoint`` repeats at most the last micro-batch, with the same rows
-    and numbers, over its own epoch folder.
+    and numbers, over its own epoch folder. A new checkpoint is a new writer, which goes on
+    where the table ends.
+
+    Rows whose ``BAD_COLUMN`` is not null are no events: their text and order columns go to
+    ``bad_path``, a folder for each micro-batch, and the landing goes on past them.
 
     The query takes what the source has and ends; with ``processing_time`` it goes on.
     """
+    if BAD_COLUMN in stream.columns and not bad_path:
+        raise ValueError(f"a stream with {BAD_COLUMN} needs bad_path")
+    started, own = threading.Event(), {}
 
-    def land(rows: DataFrame, epoch: int) -> None:
+    def land(rows: DataFrame, step: int) -> None:
+        started.wait()
+        writer = f"stream-{own['query'].id}"
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not rows.isEmpty():
-                land_epoch(rows, path, order_by, size, epoch, f"stream-{checkpoint}", batches_per_slice)
+            events = rows
+            if BAD_COLUMN in rows.columns:
+                broken = rows.filter(F.col(BAD_COLUMN).isNotNull()).select(*order_by, BAD_COLUMN)
+                if not broken.isEmpty():
+                    broken.write.mode("overwrite").parquet(f"{bad_path}/writer={writer}/step={step}")
+                events = rows.filter(F.col(BAD_COLUMN).isNull()).drop(BAD_COLUMN)
+            if not events.isEmpty():
+                land_epoch(events, path, order_by, size, step, writer, batches_per_slice)
         finally:
             rows.unpersist()
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    return (
+    own["query"] = (
         stream.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+    started.set()
+    return own["query"]

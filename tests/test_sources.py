@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from clickloom import operators as ops
 from clickloom import sources
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
+from clickloom.sources import landed
 from clickloom.sources.landed import land_epoch, newest_entry
 
 HEADER = ",".join(EVENT_COLUMNS) + "\n"
@@ -94,6 +95,27 @@ def test_encoded_events_decode_to_themselves(spark, events):
     assert sources.decode_events(binary).collect() == df.collect()
 
 
+def test_float_spellings_of_every_id(spark, tmp_path):
+    value = '{"timestamp": 1, "visitorid": 257597.0, "event": "view", "itemid": 4e1, "transactionid": NaN}'
+    df = sources.decode_events(spark.createDataFrame([(value,)], "value string"))
+    assert df.schema == EVENT_SCHEMA
+    assert tuple(df.first()) == (1, 257597, "view", 40, None)
+    path = write(tmp_path / "e.csv", HEADER + "1,257597.0,view,3.0,\n1,NaN,view,3,\n1,2.5,view,3,\n1,2,view,3,4000.5\n")
+    assert [tuple(r)[1:] for r in sources.read_events_csv(spark, path).collect()] == [
+        (257597, "view", 3, None), (None, "view", 3, None), (None, "view", 3, None), (2, "view", 3, None),
+    ]
+    assert tuple(sources.corrupt_rows(spark, path).first()) == (4, 2)
+
+
+@pytest.mark.parametrize("text", ['{"visitorid": 2.5}', '{"itemid": "abc"}', '{"visitorid": 99999999999}', '{"timestamp": "soon"}', "[1"])
+def test_messages_with_broken_values(spark, text):
+    df = spark.createDataFrame([(text,), ('{"visitorid": 3}',), (None,)], "value string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        sources.decode_events(df).collect()
+    rows = sources.decode_events(df, mode="PERMISSIVE", bad="bad").collect()
+    assert [(r.visitorid, r.bad) for r in rows] == [(None, text), (3, None), (None, None)]
+
+
 def test_message_that_is_no_json(spark):
     df = spark.createDataFrame([("{oops",)], "value string")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
@@ -174,9 +196,10 @@ def test_crash_while_writing_the_log(spark, numbered_log, tmp_path):
 
 def test_two_writers_do_not_mix(spark, numbered_log, tmp_path):
     path = str(tmp_path / "t")
-    land_epoch(numbered_log(20), path, "event_id", 10, 0, "w")
-    with pytest.raises(ValueError, match="another writer"):
-        land_epoch(numbered_log(20), path, "event_id", 10, 0, "v")
+    land_epoch(numbered_log(20), path, "event_id", 10, 3, "w")
+    land_epoch(numbered_log(20, start=20), path, "event_id", 10, 0, "v")
+    land_epoch(numbered_log(20), path, "event_id", 10, 2, "w")  # an earlier step, landed before
+    assert read(spark, path, 1, 9) == [(i // 10 + 1, i) for i in range(40)]
     with pytest.raises(ValueError, match="batches of 10 rows"):
         sources.land_batches(numbered_log(20), path, "event_id", size=11)
 
@@ -189,3 +212,39 @@ def test_a_range_prunes_folders(spark, numbered_log, tmp_path):
     scan = df._jdf.queryExecution().executedPlan().toString()
     assert "slice" in scan.split("PartitionFilters")[1] and "batch_no" in scan.split("PushedFilters")[1]
     assert sorted(r.timestamp for r in df.collect()) == list(range(100, 200))
+
+
+def test_a_range_lists_only_epochs_that_hold_some_of_it(spark, numbered_log, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(4):
+        sources.land_batches(numbered_log(25, start=25 * k), path, "event_id", size=10)
+    files = sources.read_batches(spark, path, 3, 4).inputFiles()
+    assert {f.split("epoch=")[1][0] for f in files} == {"0", "1"}
+    assert read(spark, path, 3, 4) == [(i // 10 + 1, i) for i in range(20, 40)]
+
+
+def test_the_log_is_compacted(spark, numbered_log, tmp_path, monkeypatch):
+    monkeypatch.setattr(landed, "COMPACT_AFTER", 3)
+    path = str(tmp_path / "t")
+    for k in range(8):
+        sources.land_batches(numbered_log(5, start=5 * k), path, "event_id", size=10)
+    assert sorted(p.name for p in (tmp_path / "t" / "log_compact").iterdir()) == ["through=2", "through=5"]
+    assert sorted(p.name for p in (tmp_path / "t" / "log").iterdir()) == [f"epoch={k}" for k in range(3, 8)]
+    assert landed.log_entries(spark, path).count() == 8
+    assert read(spark, path, 1, 4) == [(i // 10 + 1, i) for i in range(40)]
+
+
+def test_passes_over_the_input_of_a_landing(spark, numbered_log, tmp_path):
+    """A count, a sample, the bucket counts and the numbering; the rows landed are counted as they are written."""
+    source = str(tmp_path / "source")
+    numbered_log(500).write.parquet(source)
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    df = spark.read.parquet(source)
+    sources.land_batches(df.mapInArrow(counted, df.schema), str(tmp_path / "t"), "event_id", size=100)
+    assert rows.value <= 4 * 500

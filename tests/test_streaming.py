@@ -5,7 +5,7 @@ from clickloom import operators as ops
 from clickloom import plans, sources
 from clickloom.schema import SEGMENT_COUNTS, TRANSACTION_FEATURES
 from clickloom.sources import landed
-from clickloom.streaming import land_stream
+from clickloom.streaming import BAD_COLUMN, land_stream
 
 
 @pytest.fixture
@@ -96,12 +96,14 @@ def test_crash_inside_a_landing(spark, topic, tmp_path, monkeypatch, when):
 
 
 def test_new_checkpoint_does_not_overwrite(spark, topic, tmp_path):
+    """It is a new writer, which reads from the earliest message on and lands after what is there."""
     path = str(tmp_path / "t")
     topic.send(50)
-    land_stream(topic.stream(), path, str(tmp_path / "c1"), size=100).awaitTermination()
-    with pytest.raises(Exception, match="another writer"):
-        land_stream(topic.stream(), path, str(tmp_path / "c2"), size=100).awaitTermination()
-    assert landed_rows(spark, path) == expected(50, 100)
+    for checkpoint in ("c1", "c2"):
+        land_stream(topic.stream(), path, str(tmp_path / checkpoint), size=100).awaitTermination()
+    rows = landed_rows(spark, path)
+    assert {r[0] for r in rows} == {1}
+    assert sorted(r[2] for r in rows) == sorted([*range(50), *range(50)])
 
 
 @pytest.fixture
@@ -133,3 +135,37 @@ def test_segmenting_on_a_stream(spark, streamed):
     model = plans.fit_segments(ops.with_segment_ratios(counts))
     got = streamed(counts, lambda df: ops.segment_users(model, df), "segment_requests")
     assert got == sorted(ops.segment_users(model, counts).collect())
+
+
+def test_stream_goes_on_after_a_batch_landing_and_with_a_new_checkpoint(spark, topic, numbered_log, tmp_path):
+    path = str(tmp_path / "t")
+    sources.land_batches(numbered_log(70, start=0), path, "event_id", size=100)
+    topic.next = 70
+    topic.send(180)
+    land_stream(topic.stream(), path, str(tmp_path / "c"), size=100).awaitTermination()
+    assert landed_rows(spark, path) == expected(250, 100)
+    before = topic.stream().schema
+    later = str(tmp_path / "later")
+    rows = numbered_log(60, start=250).withColumnRenamed("event_id", "offset").withColumn("partition", F.lit(0))
+    messages = sources.encode_events(rows, keep=("partition", "offset"))
+    messages.write.parquet(later)
+    arrived = sources.decode_events(spark.readStream.schema(messages.schema).parquet(later), keep=("partition", "offset"))
+    assert arrived.schema == before
+    for _ in range(2):
+        land_stream(arrived, path, str(tmp_path / "new"), size=100).awaitTermination()
+        assert landed_rows(spark, path) == expected(310, 100)
+
+
+def test_landing_goes_on_past_a_broken_message(spark, topic, tmp_path):
+    topic.send(40)
+    folder, path, bad = str(tmp_path / "topic"), str(tmp_path / "t"), str(tmp_path / "bad")
+    broken = [(0, 40, "{oops"), (0, 41, '{"visitorid": 2.5}')]
+    spark.createDataFrame(broken, "partition int, offset long, value string").write.mode("append").parquet(folder)
+    raw = spark.readStream.schema(topic.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = sources.decode_events(raw, ("partition", "offset"), "PERMISSIVE", BAD_COLUMN)
+    land_stream(stream, path, str(tmp_path / "c"), size=10, bad_path=bad).awaitTermination()
+    assert landed_rows(spark, path) == expected(40, 10)
+    kept = spark.read.parquet(bad).select("partition", "offset", BAD_COLUMN).collect()
+    assert sorted(map(tuple, kept)) == broken
+    with pytest.raises(ValueError, match="needs bad_path"):
+        land_stream(stream, path, str(tmp_path / "other"), size=10)
