@@ -20,7 +20,7 @@ from clickloom import plans, sources
 from clickloom.schema import EVENT_COLUMNS, SEGMENT_FEATURES, TRANSACTION_FEATURES
 from clickloom.session import scratch_path
 from clickloom.sources.tables import clickstream
-from clickloom.streaming import land_stream
+from clickloom.streaming import BAD_COLUMN, land_stream
 
 # Rows per batch in the queries below: 10,000 would make one batch of the small test tables.
 BATCH_ROWS = 300
@@ -86,6 +86,39 @@ def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.decode_events(encode_events(spark, sf_dir))
 
 
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which those of signups are cut short."""
+    messages = sources.encode_events(clickstream(spark, sf_dir, ["event_id"]), keep=("event_id", "event"))
+    cut = F.when(fn.is_event("signup"), F.left("value", F.lit(20))).otherwise(F.col("value"))
+    return messages.select("event_id", cut.alias("value"))
+
+
+def decode_broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = sources.decode_events(_broken(spark, sf_dir), ("event_id",), "PERMISSIVE", BAD_COLUMN)
+    return decoded.filter(F.col(BAD_COLUMN).isNull()).drop(BAD_COLUMN)
+
+
+def bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = sources.decode_events(_broken(spark, sf_dir), ("event_id",), "PERMISSIVE", BAD_COLUMN)
+    return decoded.filter(F.col(BAD_COLUMN).isNotNull()).select("event_id", BAD_COLUMN)
+
+
+def decode_float_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids as a producer writes them that holds them as floats, as missing ones make it do."""
+    floats = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("visitorid", "itemid", "transactionid")}
+    events = _with_gaps(clickstream(spark, sf_dir)).withColumns(floats)
+    return sources.decode_events(sources.encode_events(events))
+
+
+def land_topic_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty topic partitions with offsets of their own, landed in the order of partition and offset."""
+    events = clickstream(spark, sf_dir, ["event_id"])
+    events = events.withColumn("partition", F.col("event_id") % 60).withColumnRenamed("event_id", "offset")
+    path = scratch_path(spark, "partitions")
+    sources.land_batches(events, path, ["partition", "offset"], BATCH_ROWS)
+    return sources.read_batches(spark, path, 1, 2**62, include_final=True)
+
+
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages arrive in two parts; the stream is stopped in between and goes on from its checkpoint."""
     events = clickstream(spark, sf_dir, ["event_id"]).withColumn("partition", F.lit(0))
@@ -433,6 +466,10 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             read_batch_range,
             encode_events,
             decode_events,
+            decode_broken_messages,
+            bad_messages,
+            decode_float_ids,
+            land_topic_partitions,
             stream_landing,
             known_events,
             keyed_events,
@@ -591,6 +628,17 @@ def library_sql() -> dict[str, str]:
                                   'itemid': itemid, 'transactionid': transactionid}}) AS VARCHAR) AS value
             FROM clicks""",
         "decode_events": f"WITH {_EVENTS} SELECT {_FIVE} FROM clicks",
+        "decode_broken_messages": f"WITH {_EVENTS} SELECT event_id, {_FIVE} FROM clicks WHERE event <> 'signup'",
+        "bad_messages": f"""WITH {_EVENTS}
+            SELECT event_id, left(CAST(to_json({{'timestamp': timestamp, 'visitorid': visitorid, 'event': event,
+                                  'itemid': itemid, 'transactionid': transactionid}}) AS VARCHAR), 20) AS bad_message
+            FROM clicks WHERE event = 'signup'""",
+        "decode_float_ids": f"WITH {_EVENTS}, {_GAPS} SELECT * FROM gaps",
+        "land_topic_partitions": f"""WITH {_EVENTS},
+            numbered AS (
+              SELECT *, (row_number() OVER (ORDER BY event_id % 60, event_id) - 1) // {BATCH_ROWS} + 1 AS batch_no
+              FROM clicks)
+            SELECT {_FIVE}, batch_no, count(*) OVER (PARTITION BY batch_no) < {BATCH_ROWS} AS is_final FROM numbered""",
         "stream_landing": f"WITH {_EVENTS}, {_NUMBERED} SELECT {_FIVE}, batch_no, is_final FROM batches",
         "known_events": f"""WITH {_EVENTS}
             SELECT {_FIVE} FROM clicks WHERE event IN ('view', 'addtocart', 'transaction')""",
