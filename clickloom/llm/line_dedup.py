@@ -5,8 +5,8 @@ of each hash are counted, and each document is put together again from the posit
 stay. Only hashes travel to be counted; texts move once, to meet their own positions.
 
 A line that a third of all documents holds is counted by (hash, document) first, so no task
-gets all its rows. The shared hashes and the positions to drop are written to the shared
-folder, so that both joins are plain joins of two exchanges, in which Spark splits a hot
+gets all its rows. Line hashes are written to the shared folder once and read twice; so are
+the shared hashes and the positions to drop, so that both joins are plain joins of two exchanges, in which Spark splits a hot
 key's rows; building the frame therefore starts jobs.
 
 Defined cases: a null or empty text is one empty line, and comes back as an empty text.
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.session import ensure_checkpoints
+from clickloom.session import ensure_checkpoints, scratch_path
 
 MIN_CHARS = 10
 MIN_DOCUMENTS = 2
@@ -34,17 +34,19 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+def folded(text: Column) -> Column:
+    """A-Z in lower case. Where a text is ASCII, ``lower`` does that, and faster."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def keyed_lines(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``id, tag, pos, hash`` for each line that is long enough; (id, tag) tells texts apart."""
     return (
         documents.select("id", "tag", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-        .select("id", "tag", "pos", line_key(F.col("line")).alias("key"))
-        .filter(F.char_length("key") >= min_chars)
-        .select("id", "tag", "pos", F.unhex(F.md5("key")).alias("hash"))
+        .select("id", "tag", "pos", F.btrim("line", F.lit(SPACE)).alias("stripped"))
+        .filter(F.char_length("stripped") >= min_chars)
+        .select("id", "tag", "pos", F.unhex(F.md5(folded(F.col("stripped")))).alias("hash"))
     )
 
 
@@ -65,7 +67,9 @@ def dropped_positions(
 ) -> DataFrame:
     """``id, tag, positions`` of the texts that lose lines."""
     ensure_checkpoints(documents.sparkSession)
-    lines = keyed_lines(documents, min_chars)
+    path = scratch_path(documents.sparkSession, "line-hashes")
+    keyed_lines(documents, min_chars).write.parquet(path)
+    lines = documents.sparkSession.read.parquet(path)
     shared = shared_hashes(lines, min_documents).checkpoint()
     return (
         lines.join(shared, "hash")
@@ -86,7 +90,7 @@ def dedup_lines(
     rows = documents.select(
         F.struct("*").alias("row"),
         documents[doc_id].alias("id"),
-        F.md5(F.coalesce(documents[text], F.lit(""))).alias("tag"),
+        F.unhex(F.md5(F.coalesce(documents[text], F.lit("")))).alias("tag"),
         documents[text].alias("text"),
     )
     gone = dropped_positions(rows, min_chars, min_documents).checkpoint()
