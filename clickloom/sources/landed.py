@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,18 +106,19 @@ def land_epoch(
         epoch, before = newest.epoch + 1, newest.total_rows
 
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    landed = Observation()
+    target = f"{path}/events/epoch={epoch}"
     (
         assign_batches(df, order, size, rows_before=before)
         .withColumn("slice", F.call_function("div", F.col("batch_no") - 1, F.lit(batches_per_slice)))
         .sortWithinPartitions("slice", "batch_no")
         .select(*EVENT_COLUMNS, "batch_no", "slice")
-        .observe(landed, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .partitionBy("slice")
-        .parquet(f"{path}/events/epoch={epoch}")
+        .parquet(target)
     )
-    total = before + landed.get["rows"]
+    # from the files' footers: no column is read, and an Observation would leave the session
+    # with something that can't be sent to tasks
+    total = before + spark.read.schema(_LANDED_SCHEMA).parquet(target).count()
     entry = LogEntry(epoch, total, size, batches_per_slice, writer, step, before // size + 1, -(-total // size))
     spark.createDataFrame([astuple(entry)], _LOG_SCHEMA).coalesce(1).write.mode("overwrite").json(
         f"{path}/log/epoch={epoch}"

@@ -235,7 +235,7 @@ def test_the_log_is_compacted(spark, numbered_log, tmp_path, monkeypatch):
 
 
 def test_passes_over_the_input_of_a_landing(spark, numbered_log, tmp_path):
-    """A count, a sample, the bucket counts and the numbering; the rows landed are counted as they are written."""
+    """A count, a sample, the bucket counts and the numbering; the rows landed are counted from their files."""
     source = str(tmp_path / "source")
     numbered_log(500).write.parquet(source)
     rows = spark.sparkContext.accumulator(0)
