@@ -3,16 +3,17 @@
 A document's set holds the hashes of its distinct word shingles. Documents of one set are one
 class, and only classes are compared. Each tree sends a class down the paths that chosen
 minhash coordinates make: two classes stay together in a child where they agree on its
-coordinate. A node of at most ``LEAF`` classes and ``LEAF_SHINGLES`` shingles is a leaf; a larger one branches again by
-coordinates drawn from the node's own key, ``BRANCHES`` of them on average, and what is still
-larger after ``DEPTH`` levels is cut into blocks of which every pair is a leaf, so that no
-pair is left out. In a leaf, sketches of one byte a coordinate pick the classes that may have
+coordinate. A node of at most ``LEAF`` classes and ``LEAF_SHINGLES`` shingles is a leaf. A larger one that ``BLOCKS``
+blocks can hold, or that is large by its shingles alone, is cut into blocks of which every
+pair is a leaf, so that no pair is left out. Any other branches into two children, by
+coordinates drawn from the node's own key, so that more of a pair at the threshold goes on
+than was there (2 x 0.8); what is still larger after ``DEPTH`` levels is cut into blocks too.
+In a leaf, sketches of one byte a coordinate pick the classes that may have
 a partner; those of all leaves, each group once, are then compared exhaustively on their full
 sets. Links of a group leave it as a forest, so a group of copies gives no more links than
 members. The joins are sort-merge joins at every size, so that a small input shows what a
-large one will shuffle. Independent trees repeat the search: a pair at the threshold is missed at all
-``TREES`` first levels with a chance of about 1e-10, and a few in a million in nodes that
-branch to the end.
+large one will shuffle. Independent trees repeat the search; ``miss_rate`` gives the chance that
+a pair is found in no tree or agrees on fewer than ``AGREE`` coordinates.
 
 No group of documents meets in one task: classes come from a partial aggregation, leaves are
 bounded, and joins whose keys may be hot are joins of two exchanges, which Spark splits. What
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +44,12 @@ PERCENT = 80
 SHINGLE = 4
 COORDINATES = 64
 TREES = 12
-BRANCHES = 1.25
 LEAF = 2048
 #: Shingles that the classes of a leaf have together, at most.
 LEAF_SHINGLES = 1 << 22
-DEPTH = 10
+#: Blocks into which a node is cut at once, at most; what needs more branches first.
+BLOCKS = 8
+DEPTH = 6
 #: Agreeing coordinates of 64 that a pair needs to be compared; at 80 percent, fewer come up once in a million pairs.
 AGREE = 36
 
@@ -152,19 +155,31 @@ def _child(node: Column, coordinate: Column, mh: Column) -> Column:
     return F.xxhash64(node, coordinate, F.get(mh, coordinate))
 
 
-def _chosen(node: Column, branch: int, coordinates: int) -> Column:
-    return F.pmod(F.xxhash64(node, F.lit(branch)), F.lit(coordinates)).cast("int")
+def _grown(rows: DataFrame, coordinates: int) -> DataFrame:
+    """``node, fp, n`` of the two children of each of ``node, fp, n, mh``, by different coordinates."""
+    first = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(coordinates)).cast("int")
+    further = 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(coordinates - 1)).cast("int")
+    second = F.pmod(first + further, F.lit(coordinates))
+    children = F.array(*(_child(F.col("node"), chosen, F.col("mh")) for chosen in (first, second)))
+    return rows.select(F.explode(children).alias("node"), "fp", "n")
 
 
-def _grown(rows: DataFrame, coordinates: int) -> DataFrame:
-    """``node, fp, n`` of the children of ``node, fp, n, mh``."""
-    first, second = (_chosen(F.col("node"), branch, coordinates) for branch in (1, 2))
-    share = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1000)) < int(1000 * (BRANCHES - 1))
-    children = F.array(
-        _child(F.col("node"), first, F.col("mh")),
-        F.when(share & (second != first), _child(F.col("node"), second, F.col("mh"))),
-    )
-    return rows.select(F.explode(F.array_compact(children)).alias("node"), "fp", "n")
+def miss_rate(similarity: float, trees: int = TREES, depth: int = DEPTH, agree: int = AGREE) -> float:
+    """The chance that a pair whose nodes all branch to the last level is not compared.
+
+    It agrees on k of the coordinates; at the last level, blocks hold every pair.
+    """
+    c, total = COORDINATES, 0.0
+    roots = len(_first_children(trees, c))
+    for k in range(c + 1):
+        lost = 0.0  # below a node that the pair shares
+        both, one = k * (k - 1) / (c * (c - 1)), 2 * k * (c - k) / (c * (c - 1))
+        for _ in range(depth - 1):
+            lost = both * lost**2 + one * lost + (1 - both - one)
+        ways = ((comb(k, a) * comb(c - k, roots - a), lost**a) for a in range(roots + 1))
+        missed = sum(w * x for w, x in ways) / comb(c, roots) if k >= agree else 1.0
+        total += comb(c, k) * similarity**k * (1 - similarity) ** (c - k) * missed
+    return total
 
 
 def _sized(rows: DataFrame, label: str) -> DataFrame:
@@ -174,10 +189,14 @@ def _sized(rows: DataFrame, label: str) -> DataFrame:
     return _saved(rows.join(sizes.hint("merge"), "node"), label)
 
 
+def _block_count(leaf: int) -> Column:
+    blocks = F.ceil(2 * F.greatest(F.col("size") / leaf, F.col("shingles") / LEAF_SHINGLES))
+    return F.least(blocks, F.col("size")).cast("int")
+
+
 def _blocks(rows: DataFrame, leaf: int) -> DataFrame:
-    """Every pair of blocks of a node that stays large, as a node of its own."""
-    blocks = F.ceil(2 * F.greatest(F.col("size") / leaf, F.col("shingles") / LEAF_SHINGLES)).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp", F.lit(5)), "blocks").cast("int"))
+    """Every pair of blocks of a large node, as a node of its own."""
+    dealt = rows.withColumn("blocks", _block_count(leaf)).withColumn("own", F.pmod(F.xxhash64("fp", F.lit(5)), "blocks").cast("int"))
     paired = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     return paired.select(F.xxhash64("node", low, high).alias("node"), "fp")
@@ -196,11 +215,11 @@ def leaves(classes: DataFrame, trees: int = TREES, leaf: int = LEAF, depth: int
         is_leaf = (F.col("size") <= leaf) & (F.col("shingles") <= LEAF_SHINGLES)
         small = sized.filter(is_leaf).select("node", "fp")
         found = small if found is None else found.unionByName(small)
-        large = sized.filter(~is_leaf)
+        is_cut = (F.col("size") <= leaf) | (_block_count(leaf) <= BLOCKS) | F.lit(level == depth)
+        found = found.unionByName(_blocks(sized.filter(~is_leaf & is_cut), leaf))
+        large = sized.filter(~is_leaf & ~is_cut)
         if large.isEmpty():
             return found
-        if level == depth:
-            return found.unionByName(_blocks(large, leaf))
         rows = _grown(large.join(classes.select("fp", "mh").hint("merge"), "fp").select("node", "fp", "n", "mh"), coordinates)
     return found
 

@@ -73,6 +73,26 @@ def test_large_nodes_branch_and_are_cut_into_blocks(documents):
     assert result(documents(*docs), leaf=8) == brute(docs)
 
 
+def test_isolated_pairs_within_a_hot_template(spark):
+    """Pairs just above the threshold, all alike by 70 percent: their nodes stay large for many levels."""
+    sets = []
+    for k in range(400):
+        words = [*range(150), *(10**6 + k // 2 * 10 + j for j in range(10)), *(10**7 + k * 20 + j for j in range(20))]
+        sets.append(np.unique(n.mixed(np.array(words, np.uint64))))
+    rows = [(str(k).encode(), len(s), mh.tolist()) for k, (s, mh) in enumerate(zip(sets, n._minhashes(sets, n.COORDINATES)))]
+    classes = spark.createDataFrame(rows, "fp binary, n int, mh array<int>").checkpoint()
+    nodes = {}
+    for node, fp in n.leaves(classes, leaf=8).collect():
+        nodes.setdefault(node, set()).add(int(fp))
+    met = {k // 2 for members in nodes.values() for k in members if k ^ 1 in members}
+    assert met == set(range(200))
+
+
+def test_miss_rate_of_nodes_that_stay_large():
+    assert n.miss_rate(0.8, depth=1) < 2e-5
+    assert n.miss_rate(0.8) < 2e-5
+
+
 def test_passage_that_all_share(documents):
     draw = random.Random(3)
     passage = " ".join(f"p{k}" for k in range(30))
