@@ -103,6 +103,19 @@ def test_calibration_keeps_the_recall():
     assert abs(p.mean() - labels.mean()) < 0.02
 
 
+def test_fit_keeps_the_recall_where_the_network_is_unsure():
+    draw = np.random.default_rng(3)
+    labels = np.repeat([0, 1], 200)
+    windows = draw.integers(1, secrets.SYMBOLS, (400, 2 * secrets.CONTEXT + secrets.BODY))
+    windows[labels == 1, secrets.CONTEXT - 3 : secrets.CONTEXT] = 7  # only the context tells
+    network = secrets.fit(windows, labels)
+    held = np.arange(400) % secrets.HELD_OUT == 0
+    own = windows[held & (labels == 1)]
+    elsewhere = secrets.swapped_context(windows[held], labels[held], 12)
+    for shown in (own, elsewhere):
+        assert (network.probability(shown) >= network.threshold).mean() >= secrets.RECALL
+
+
 def test_no_findings(documents):
     docs = documents((1, "nothing of the kind"), (2, None))
     assert secrets.train_secrets(docs) is None
