@@ -220,6 +220,18 @@ def test_threshold_of():
     assert personal_data.threshold_of([(0.5, 0)], 0.9) > 1
 
 
+def test_chain_of_overlapping_spans(documents, monkeypatch):
+    """A beats B and B beats C; A and C don't meet, so both stay."""
+    from pyspark.sql import functions as F
+
+    one = lambda start, end, k: F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.array(F.lit(k)).alias("features"))
+    proposed = F.array(one(8, 14, 1.0), one(4, 10, 2.0), one(0, 6, 3.0), one(0, 6, 3.0))
+    monkeypatch.setattr(personal_data, "candidates", lambda text: proposed)
+    model = personal_data.Boosted([[0, 1.5, 0.1, [0, 2.5, 0.2, 0.3]]], [1.0], 0.0)
+    (row,) = personal_data.personal_spans(documents((1, "abcdefghijklmnop")), model).collect()
+    assert [(s.start, s.end, s.kind) for s in row.spans] == [(0, 6, "likely"), (8, 14, "likely")]
+
+
 def test_no_personal_data(documents):
     docs = documents((1, "nothing of the kind"), (2, None))
     assert personal_data.train_personal_data(docs) is None
