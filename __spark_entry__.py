@@ -6,7 +6,6 @@ from it, so that its work grows with the table.
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 from functools import partial
 
@@ -711,20 +710,16 @@ def library_sql() -> dict[str, str]:
 
 # The operators on training text stand apart: without their package the rest works as before.
 
-HAS_LLM = importlib.util.find_spec("clickloom.llm") is not None
+try:
+    from clickloom.llm.queries import ORACLE_SQL as _TEXT_SQL
+    from clickloom.llm.queries import QUERIES as _TEXT_QUERIES
+except ImportError:
+    _TEXT_SQL, _TEXT_QUERIES = {}, {}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    if not HAS_LLM:
-        return library_queries()
-    from clickloom.llm.queries import QUERIES
-
-    return library_queries() | QUERIES
+    return library_queries() | _TEXT_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    if not HAS_LLM:
-        return library_sql()
-    from clickloom.llm.queries import ORACLE_SQL
-
-    return library_sql() | ORACLE_SQL
+    return library_sql() | _TEXT_SQL

@@ -11,8 +11,6 @@ from pyspark.sql import types as T  # noqa: E402
 from clickloom.schema import EVENT_SCHEMA  # noqa: E402
 from clickloom.session import get_session  # noqa: E402
 
-TESTDATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -1,5 +1,5 @@
 import pytest
-from conftest import TESTDATA
+from tables_at import TESTDATA
 
 import __spark_entry__ as entry_module
 

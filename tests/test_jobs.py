@@ -1,5 +1,5 @@
 import pytest
-from conftest import TESTDATA
+from tables_at import TESTDATA
 
 from clickloom import operators as ops
 from clickloom import sources

@@ -5,7 +5,7 @@ from functools import partial
 
 import numpy as np
 import pytest
-from conftest import TESTDATA
+from tables_at import TESTDATA
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """What the physical plans must and must not contain to hold at scale."""
 
 import pytest
-from conftest import TESTDATA
+from tables_at import TESTDATA
 
 import __spark_entry__ as entry_module
 from clickloom import operators as ops
