@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import byte_bpe, packing
 from clickloom.llm.decontaminate import contamination
+from clickloom.llm.lexical import search
 from clickloom.llm.licenses import license_scan
 from clickloom.llm.line_dedup import dedup_lines, reassembled
 from clickloom.llm.near_dedup import near_duplicates
@@ -138,6 +139,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -151,6 +156,7 @@ QUERIES = {
         op8_quality_rules,
         op9_near_dedup,
         op10_personal_data,
+        op11_lexical_search,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -181,6 +187,27 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN item_lists USING (doc_id)""",
+    "op11_lexical_search": f"""
+        WITH docs AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+        sized AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n FROM docs WHERE len(w) > 0),
+        whole AS (SELECT count(*) AS docs_n, CAST(sum(n) AS BIGINT) AS terms_n FROM sized),
+        wanted AS (
+          SELECT item_id, term, count(*) AS times
+          FROM (SELECT item_id, unnest({_WORDS.format("text")}) AS term FROM benchmark) GROUP BY 1, 2),
+        counted AS (
+          SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS term FROM sized)
+          WHERE term IN (SELECT term FROM wanted) GROUP BY 1, 2, 3),
+        weighed AS (
+          SELECT term, CAST(floor(1000 * ln((2 * docs_n + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+          FROM counted, whole GROUP BY term, docs_n),
+        scored AS (
+          SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf)
+                 // (1000 * tf + 12 * (75 + (25 * n * docs_n) // terms_n)))) AS BIGINT) AS score
+          FROM counted JOIN weighed USING (term) JOIN wanted USING (term), whole GROUP BY 1, 2),
+        ranked AS (
+          SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                 doc_id, score FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 20""",
     "op3_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, pos, line,
