@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, packing
+from clickloom.llm import byte_bpe, dialogue, packing
 from clickloom.llm.decontaminate import contamination
 from clickloom.llm.lexical import search
 from clickloom.llm.licenses import license_scan
@@ -23,6 +23,7 @@ from clickloom.llm.quality import quality
 from clickloom.llm.secrets import KINDS as SECRET_KINDS
 from clickloom.llm.secrets import secrets
 from clickloom.llm.token_counts import read_tokenizer, token_counts
+from clickloom.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,6 +144,41 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """What op13 does to the rows before they are repaired; ``copies`` says how often one stands there."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(F.concat_ws(":", conv, turn)) % 20).alias("harm"))
+    harm = F.col("harm")
+    return rows.filter(harm != 0).select(
+        "conv_id",
+        "turn",
+        F.when(harm == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.when(harm == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repairs are found once, written below the shared folder, and read for the rows and for the result."""
+    conversations = _table(spark, sf_dir, "conversations")
+    rows, copies = _damaged(conversations), F.col("copies")
+    path = scratch_path(spark, "repairs")
+    dialogue.repair(rows, copies=copies).write.parquet(path)
+    found = spark.read.parquet(path)
+    hashes = dialogue.digests(dialogue.repaired(rows, found, copies=copies))
+    ids, a, b = conversations.select("conv_id").distinct().alias("i"), found.alias("a"), hashes.alias("b")
+    every = ids.join(a, F.col("i.conv_id").eqNullSafe(F.col("a.conv_id")), "left").join(
+        b, F.col("i.conv_id").eqNullSafe(F.col("b.conv_id")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        "i.conv_id",
+        *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -157,6 +193,7 @@ QUERIES = {
         op9_near_dedup,
         op10_personal_data,
         op11_lexical_search,
+        op13_conversation_repair,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
