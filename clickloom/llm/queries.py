@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import byte_bpe, dialogue, packing
 from clickloom.llm.decontaminate import contamination
+from clickloom.llm.html_text import with_text
 from clickloom.llm.lexical import search
 from clickloom.llm.licenses import license_scan
 from clickloom.llm.line_dedup import dedup_lines, reassembled
@@ -144,6 +145,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_text(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def _damaged(conversations: DataFrame) -> DataFrame:
     """What op13 does to the rows before they are repaired; ``copies`` says how often one stands there."""
     conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
@@ -193,6 +199,7 @@ QUERIES = {
         op9_near_dedup,
         op10_personal_data,
         op11_lexical_search,
+        op12_html_extraction,
         op13_conversation_repair,
     )
 }
