@@ -1,0 +1,98 @@
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from clickloom.llm import lexical
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+
+
+def brute(documents, items, k=20):
+    """(item, rank, document, score), ids in order with null first."""
+    docs = [(i, Counter(terms(t)), len(terms(t))) for i, t in documents if terms(t)]
+    n_docs, length = len(docs), sum(n for *_, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    wanted = {}
+    for item, text in items:
+        wanted.setdefault(item, Counter()).update(terms(text))
+    out = []
+    for item, own in wanted.items():
+        scored = []
+        for doc, counts, n in docs:
+            m = 75 + (25 * n * n_docs) // length
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * counts[t]) // (1000 * counts[t] + 12 * m))
+                for t, times in own.items()
+                if counts[t]
+            )
+            if score > 0:
+                scored.append((-score, doc is not None, doc or 0))
+        out += [(item, rank, doc if known else None, -score) for rank, (score, known, doc) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def found(documents, items, **options):
+    rows = lexical.search(documents, items, **options)
+    assert rows.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in rows.collect()), key=str)
+
+
+def drawn(seed, n, words):
+    draw = random.Random(seed)
+    vocabulary = ["the", "of", "Über", "über", "a1", "Cat", "x-ray", "ß", "İ", "the_of", "日本", "n°", "", "9"] + [f"w{k}" for k in range(60)]
+    weights = [20, 15] + [3] * 12 + [1] * 60
+    return [draw.choice([" ", ", ", "\n", "\0"]).join(draw.choices(vocabulary, weights, k=draw.randrange(words))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block_bytes", [lexical.BLOCK_BYTES, 300])
+def test_matches_brute_force(documents, benchmark_items, block_bytes):
+    docs = list(enumerate(drawn(1, 150, 80))) + [(900, None), (901, ""), (902, "... --"), (None, "the cat w1"), (3, "w1 w2 w3"), (3, "w1 w2 w3")]
+    items = list(enumerate(drawn(2, 12, 30))) + [(50, None), (51, ""), (52, "absent words"), (53, "the the THE"), (None, "w1 w9"), (4, "w5 w5")]
+    got = found(documents(*docs), benchmark_items(*items), block_bytes=block_bytes)
+    assert got == brute(docs, items)
+
+
+def test_equal_scores_rank_by_id(documents, benchmark_items):
+    docs = [(k, "same words here") for k in range(60, 0, -1)] + [(0, "others")]
+    items = [(1, "words"), (2, "others words")]
+    got = found(documents(*docs), benchmark_items(*items))
+    assert got == brute(docs, items)
+    assert [r[2] for r in sorted(got)][:20] == list(range(1, 21))
+
+
+def test_small_arrays_give_the_same(documents, benchmark_items, monkeypatch):
+    docs, items = list(enumerate(drawn(5, 200, 40))), list(enumerate(drawn(6, 9, 40)))
+    monkeypatch.setattr(lexical, "MOST_SCORES", 7)
+    block = lexical._block([{"item": i, "term": t, "times": n} for i, x in items for t, n in Counter(terms(x)).items()], {i: i for i, _ in items})
+    import numpy as np
+    import pyarrow as pa
+
+    counted = [Counter(terms(x)) for _, x in docs]
+    df = Counter(t for c in counted for t in c)
+    n = sum(1 for c in counted if c)
+    held = {k: df[t] for k, t in enumerate(block.terms)} | {-1: n, -2: sum(sum(c.values()) for c in counted)}
+    rank = lexical._ranker(block, lexical._weights(held, len(block.terms)), 4)
+    batch = pa.RecordBatch.from_arrays([pa.array([x for _, x in docs]), pa.array([i for i, _ in docs])], ["text", "doc_id"])
+    rows = [r for b in rank(iter([batch.slice(0, 90), batch.slice(90)])) for r in b.to_pylist()]
+    assert sorted((r["item"], r["doc_id"], r["score"]) for r in rows) == sorted((i, d, s) for i, _, d, s in brute(docs, items, 4))
+    assert np.all(np.diff(block.first) > 0)
+
+
+def test_string_ids_and_long_text(spark):
+    docs = spark.createDataFrame([("b", "needle " * 3 + "straw " * 300_000), ("a", "straw"), ("c", "needle")], "name string, body string")
+    items = spark.createDataFrame([("q", "Needle")], "q string, text string")
+    got = lexical.search(docs, items, doc_id="name", text="body", item_id="q").collect()
+    assert [(r.item_id, r.rank, r.doc_id) for r in got] == [("q", 1, "b"), ("q", 2, "c")]
+
+
+def test_empty_tables(documents, benchmark_items):
+    assert found(documents(), benchmark_items((1, "words"))) == []
+    assert found(documents((1, "words")), benchmark_items()) == []
+    assert found(documents((1, None)), benchmark_items((1, "words"))) == []
