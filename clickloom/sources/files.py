@@ -17,7 +17,3 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
         return []
     return [status.getPath().getName() for status in fs.listStatus(folder)]
 
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    fs, folder = _resolve(spark, path)
-    fs.delete(folder, True)

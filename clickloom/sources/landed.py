@@ -1,21 +1,20 @@
-"""The landed event table: Parquet, numbered batches, a log of what is complete.
-
-Layout below the table's path::
-
-    events/epoch=E/slice=S/*.parquet    E: one landing, S: a range of batch numbers
-    log/epoch=E/*.json                  what landing E added, and rows in the table with it
-    log_compact/through=E/*.json        the entries up to and with E in one file
-
-Batches may be small and many, so they have no folder of their own: a slice holds
-``BATCHES_PER_SLICE`` of them, sorted, and a range of batches is found by partition
-pruning on the slice and row-group pruning on ``batch_no``. Readers see a landing only
-when its log entry is written. Epochs are numbered from the log. An entry names its writer
-and the writer's own step, so a landing that is tried again overwrites its own epoch folder
-with the same rows, or finds itself logged and leaves it: a crash neither loses nor repeats
-any. It also has the batches it touched, so a range reads only the epochs that hold some of
-it. Every ``COMPACT_AFTER`` landings the entries are gathered in one file; those gathered
-the time before are then deleted, so a reader that has just listed them still finds its
-files. A table takes one writer at a time.
+"""The landed event table: Parquet in folders, numbered batches.
+
+Layout below the table's path, all of it partition columns that Spark's reader knows::
+
+    batch_rows=N/slice_batches=M/slice=S/landing=F_W_T/*.parquet
+
+Batches have ``batch_rows`` rows each. They may be small and many, so they have no folder of
+their own: a slice holds ``slice_batches`` of them, sorted, and a range of batches is found by
+partition pruning on the slice and row-group pruning on ``batch_no``. As every slice but the
+last is full, the table's length is the last slice's place and the rows in its footers.
+
+A landing is written by dynamic partition overwrite, so that it appears when it is committed.
+Its name has the number of rows before it, its writer and the writer's step: when it is tried
+again, it takes the same numbers and replaces its own folders, and a crash neither loses nor
+repeats any. What it was trying comes from the stream's own checkpoint. A table takes one
+writer at a time. A landing that spans slices is committed folder by folder; one that a crash
+interrupts there is seen in part until it is tried again.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,37 +30,30 @@ from pyspark.sql import types as T
 
 from clickloom.operators.batching import assign_batches
 from clickloom.schema import BATCH_SIZE, EVENT_COLUMNS, EVENT_SCHEMA
-from clickloom.sources.files import child_names, delete_folder
+from clickloom.sources.files import child_names
 
 log = logging.getLogger(__name__)
 
 BATCHES_PER_SLICE = 1_000
 
+_FOLDERS = ("batch_rows", "slice_batches", "slice", "landing")
 _LANDED_SCHEMA = T.StructType(
     [
         *EVENT_SCHEMA.fields,
         T.StructField("batch_no", T.LongType()),
-        T.StructField("epoch", T.LongType()),
-        T.StructField("slice", T.LongType()),
+        *(T.StructField(name, T.LongType()) for name in _FOLDERS[:3]),
+        T.StructField("landing", T.StringType()),
     ]
 )
-_LOG_SCHEMA = (
-    "epoch long, total_rows long, size long, batches_per_slice long, writer string, step long,"
-    " first_batch long, last_batch long"
-)
-COMPACT_AFTER = 50
 
 
 @dataclass(frozen=True)
-class LogEntry:
-    epoch: int
-    total_rows: int
+class Extent:
+    """How a table is cut, and how long it is."""
+
     size: int
     batches_per_slice: int
-    writer: str
-    step: int
-    first_batch: int
-    last_batch: int
+    total_rows: int
 
     @property
     def full_batches(self) -> int:
@@ -76,54 +68,77 @@ def land_batches(
     batches_per_slice: int = BATCHES_PER_SLICE,
 ) -> None:
     """Append the events of ``df``; numbering goes on where the table ends."""
-    land_epoch(df, path, order_by, size, 0, f"job-{uuid.uuid4().hex}", batches_per_slice)
+    land(df, path, order_by, size, f"job-{uuid.uuid4().hex}", 0, batches_per_slice)
 
 
-def land_epoch(
+def land(
     df: DataFrame,
     path: str,
     order_by: str | Sequence[str],
     size: int,
-    step: int,
     writer: str,
+    step: int,
     batches_per_slice: int = BATCHES_PER_SLICE,
+    again: bool = False,
 ) -> None:
-    """Land ``df`` as step ``step`` of a writer, whose steps rise; doing so again changes nothing.
+    """Land ``df`` as step ``step`` of a writer; with ``again`` it may have been tried before.
 
     ``df`` is computed more than once and must give the same rows each time.
     """
     spark = df.sparkSession
-    done = log_entries(spark, path).filter(F.col("writer") == writer).agg(F.max("step")).first()[0]
-    if done is not None and done >= step:
-        return
-    newest = newest_entry(spark, path)
-    epoch, before = 0, 0
-    if newest:
-        if (newest.size, newest.batches_per_slice) != (size, batches_per_slice):
-            raise ValueError(
-                f"{path} has batches of {newest.size} rows, {newest.batches_per_slice} to a slice"
-            )
-        epoch, before = newest.epoch + 1, newest.total_rows
-
+    table = extent(spark, path)
+    if table and (table.size, table.batches_per_slice) != (size, batches_per_slice):
+        raise ValueError(f"{path} has batches of {table.size} rows, {table.batches_per_slice} to a slice")
+    before = table.total_rows if table else 0
+    if table and again:
+        before = _rows_before(spark, path, writer, step, before)
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    target = f"{path}/events/epoch={epoch}"
+    folders = {
+        "batch_rows": F.lit(size),
+        "slice_batches": F.lit(batches_per_slice),
+        "slice": F.call_function("div", F.col("batch_no") - 1, F.lit(batches_per_slice)),
+        "landing": F.lit(f"{before:015d}_{writer}_{step}"),
+    }
     (
         assign_batches(df, order, size, rows_before=before)
-        .withColumn("slice", F.call_function("div", F.col("batch_no") - 1, F.lit(batches_per_slice)))
+        .withColumns(folders)
         .sortWithinPartitions("slice", "batch_no")
-        .select(*EVENT_COLUMNS, "batch_no", "slice")
+        .select(*EVENT_COLUMNS, "batch_no", *_FOLDERS)
         .write.mode("overwrite")
-        .partitionBy("slice")
-        .parquet(target)
-    )
-    # from the files' footers: no column is read, and an Observation would leave the session
-    # with something that can't be sent to tasks
-    total = before + spark.read.schema(_LANDED_SCHEMA).parquet(target).count()
-    entry = LogEntry(epoch, total, size, batches_per_slice, writer, step, before // size + 1, -(-total // size))
-    spark.createDataFrame([astuple(entry)], _LOG_SCHEMA).coalesce(1).write.mode("overwrite").json(
-        f"{path}/log/epoch={epoch}"
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*_FOLDERS)
+        .parquet(path)
     )
-    _compact(spark, path, epoch)
+
+
+def _rows_before(spark: SparkSession, path: str, writer: str, step: int, otherwise: int) -> int:
+    """The rows before a landing as its folders say, if there are any."""
+    own = _table(spark, path).filter(F.col("landing").endswith(f"_{writer}_{step}")).select("landing").first()
+    return int(own[0].split("_")[0]) if own else otherwise
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_LANDED_SCHEMA).parquet(path)
+
+
+def _number(spark: SparkSession, path: str, column: str) -> int | None:
+    """The largest number that a column's folders directly below ``path`` have."""
+    start = f"{column}="
+    return max((int(n.removeprefix(start)) for n in child_names(spark, path) if n.startswith(start)), default=None)
+
+
+def extent(spark: SparkSession, path: str) -> Extent | None:
+    """How long the table is; only the footers of its last slice are read."""
+    folder, numbers = path.rstrip("/"), []
+    for column in _FOLDERS[:3]:
+        number = _number(spark, folder, column)
+        if number is None:
+            return None
+        folder = f"{folder}/{column}={number}"
+        numbers.append(number)
+    size, per_slice, last = numbers
+    rows = spark.read.schema(_LANDED_SCHEMA).option("basePath", path).parquet(folder).count()
+    return Extent(size, per_slice, last * per_slice * size + rows)
 
 
 def read_batches(
@@ -138,71 +153,22 @@ def read_batches(
     A range that reaches past the table is a warning, and the rows it does have are read.
     The last batch, while not full, is read on request only.
     """
-    newest = newest_entry(spark, path)
-    if newest is None:
+    table = extent(spark, path)
+    if table is None:
         log.warning("no batches below %s", path)
         return spark.createDataFrame([], _LANDED_SCHEMA).select(
             *EVENT_COLUMNS, "batch_no", F.lit(False).alias("is_final")
         )
-    last = newest.full_batches
-    if include_final and newest.total_rows % newest.size:
+    last = table.full_batches
+    if include_final and table.total_rows % table.size:
         last += 1
     if end > last:
         log.warning("%s ends at batch %d; asked for %d to %d", path, last, start, end)
         end = last
-    per_slice = newest.batches_per_slice
-    holding = log_entries(spark, path).filter((F.col("last_batch") >= start) & (F.col("first_batch") <= end))
-    epochs = [r.epoch for r in holding.select("epoch").orderBy("epoch").collect()]
-    rows = (
-        spark.read.schema(_LANDED_SCHEMA)
-        .option("basePath", f"{path}/events")
-        .parquet(*[f"{path}/events/epoch={e}" for e in epochs])
-        if epochs
-        else spark.createDataFrame([], _LANDED_SCHEMA)
-    )
+    per_slice = table.batches_per_slice
     return (
-        rows.filter(F.col("slice").between((start - 1) // per_slice, (end - 1) // per_slice))
+        _table(spark, path)
+        .filter(F.col("slice").between((start - 1) // per_slice, (end - 1) // per_slice))
         .filter(F.col("batch_no").between(start, end))
-        .select(*EVENT_COLUMNS, "batch_no", (F.col("batch_no") > newest.full_batches).alias("is_final"))
+        .select(*EVENT_COLUMNS, "batch_no", (F.col("batch_no") > table.full_batches).alias("is_final"))
     )
-
-
-def newest_entry(spark: SparkSession, path: str) -> LogEntry | None:
-    """The last complete log entry; a crash may leave an empty folder after it."""
-    newest = log_entries(spark, path).orderBy(F.col("epoch").desc()).first()
-    return LogEntry(*newest) if newest else None
-
-
-def log_entries(spark: SparkSession, path: str) -> DataFrame:
-    """All entries of the log, one row each."""
-    through = _compacted(spark, path)
-    folders = [f"{path}/log_compact/through={through}"] if through >= 0 else []
-    folders += [f"{path}/log/epoch={e}" for e in _numbered(spark, f"{path}/log", "epoch=") if e > through]
-    if not folders:
-        return spark.createDataFrame([], _LOG_SCHEMA)
-    return spark.read.schema(_LOG_SCHEMA).json(folders)
-
-
-def _numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    return sorted(int(n.removeprefix(prefix)) for n in child_names(spark, path) if n.startswith(prefix))
-
-
-def _compacted(spark: SparkSession, path: str) -> int:
-    """The last epoch of the newest complete gathering, or -1."""
-    for through in reversed(_numbered(spark, f"{path}/log_compact", "through=")):
-        if "_SUCCESS" in child_names(spark, f"{path}/log_compact/through={through}"):
-            return through
-    return -1
-
-
-def _compact(spark: SparkSession, path: str, epoch: int) -> None:
-    before = _compacted(spark, path)
-    if epoch - before < COMPACT_AFTER:
-        return
-    log_entries(spark, path).coalesce(1).write.mode("overwrite").json(f"{path}/log_compact/through={epoch}")
-    for old in _numbered(spark, f"{path}/log", "epoch="):
-        if old <= before:
-            delete_folder(spark, f"{path}/log/epoch={old}")
-    for old in _numbered(spark, f"{path}/log_compact", "through="):
-        if old < before:
-            delete_folder(spark, f"{path}/log_compact/through={old}")

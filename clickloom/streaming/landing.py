@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.schema import BATCH_SIZE
-from clickloom.sources.landed import BATCHES_PER_SLICE, land_epoch
+from clickloom.sources.landed import BATCHES_PER_SLICE
+from clickloom.sources.landed import land as land_step
 
 
 #: The column with the text of a broken message, where a stream has one.
@@ -31,10 +32,10 @@ def land_stream(
     """Start a query that lands ``stream`` below ``path`` and return it.
 
     Batches have exactly ``size`` rows however the source cuts its micro-batches: numbering
-    goes on from the landing log, and a batch that a micro-batch leaves unfinished is
+    goes on where the table ends, and a batch that a micro-batch leaves unfinished is
     filled by the next. Within a micro-batch rows are taken in ``order_by`` order. A
     restart from ``checkpoint`` repeats at most the last micro-batch, with the same rows
-    and numbers, over its own epoch folder. A new checkpoint is a new writer, which goes on
+    and numbers, over its own folders. A new checkpoint is a new writer, which goes on
     where the table ends.
 
     Rows whose ``BAD_COLUMN`` is not null are no events: their text and order columns go to
@@ -44,7 +45,7 @@ def land_stream(
     """
     if BAD_COLUMN in stream.columns and not bad_path:
         raise ValueError(f"a stream with {BAD_COLUMN} needs bad_path")
-    started, own = threading.Event(), {}
+    started, own = threading.Event(), {"again": True}
 
     def land(rows: DataFrame, step: int) -> None:
         started.wait()
@@ -58,7 +59,8 @@ def land_stream(
                     broken.write.mode("overwrite").parquet(f"{bad_path}/writer={writer}/step={step}")
                 events = rows.filter(F.col(BAD_COLUMN).isNull()).drop(BAD_COLUMN)
             if not events.isEmpty():
-                land_epoch(events, path, order_by, size, step, writer, batches_per_slice)
+                land_step(events, path, order_by, size, writer, step, batches_per_slice, again=own["again"])
+            own["again"] = False  # only what a run begins with may have been tried before
         finally:
             rows.unpersist()
 

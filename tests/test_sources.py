@@ -1,4 +1,5 @@
 import logging
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -6,8 +7,7 @@ from pyspark.errors import AnalysisException
 from clickloom import operators as ops
 from clickloom import sources
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
-from clickloom.sources import landed
-from clickloom.sources.landed import land_epoch, newest_entry
+from clickloom.sources.landed import extent, land
 
 HEADER = ",".join(EVENT_COLUMNS) + "\n"
 
@@ -167,41 +167,44 @@ def test_no_table_gives_no_rows(spark, tmp_path):
 
 def test_landing_again_changes_nothing(spark, numbered_log, tmp_path):
     path = str(tmp_path / "t")
-    land_epoch(numbered_log(25), path, "event_id", 10, 0, "w")
-    land_epoch(numbered_log(7, start=25), path, "event_id", 10, 1, "w")
-    land_epoch(numbered_log(7, start=25), path, "event_id", 10, 1, "w")
+    land(numbered_log(25), path, "event_id", 10, "w", 0)
+    for again in (False, True, True):
+        land(numbered_log(7, start=25), path, "event_id", 10, "w", 1, again=again)
     assert read(spark, path, 1, 9, include_final=True) == [(i // 10 + 1, i) for i in range(32)]
-    assert newest_entry(spark, path).total_rows == 32
+    assert extent(spark, path).total_rows == 32
 
 
-def test_unlogged_landing_is_not_seen(spark, numbered_log, tmp_path):
+def test_uncommitted_landing_is_not_seen(spark, numbered_log, tmp_path):
     path = str(tmp_path / "t")
-    land_epoch(numbered_log(20), path, "event_id", 10, 0, "w")
-    numbered_log(5).select(*EVENT_COLUMNS).selectExpr("*", "1L as batch_no", "0L as slice").write.partitionBy(
-        "slice"
-    ).parquet(f"{path}/events/epoch=1")
+    land(numbered_log(20), path, "event_id", 10, "w", 0)
+    staged = tmp_path / "t" / ".spark-staging-1" / "batch_rows=10" / "slice_batches=1000" / "slice=7" / "landing=x"
+    staged.mkdir(parents=True)
+    (staged / "part-0.parquet").write_bytes(b"cut off")
     assert len(read(spark, path, 1, 9, include_final=True)) == 20
-    land_epoch(numbered_log(3, start=20), path, "event_id", 10, 1, "w")
+    land(numbered_log(3, start=20), path, "event_id", 10, "w", 1)
     assert len(read(spark, path, 1, 9, include_final=True)) == 23
 
 
-def test_crash_while_writing_the_log(spark, numbered_log, tmp_path):
-    path = str(tmp_path / "t")
-    land_epoch(numbered_log(20), path, "event_id", 10, 0, "w")
-    (tmp_path / "t" / "log" / "epoch=1" / "_temporary").mkdir(parents=True)
-    assert newest_entry(spark, path).epoch == 0
-    land_epoch(numbered_log(3, start=20), path, "event_id", 10, 1, "w")
-    assert len(read(spark, path, 1, 9, include_final=True)) == 23
+@pytest.mark.parametrize("left", ["first", "last"])
+def test_landing_that_was_committed_in_part(spark, numbered_log, tmp_path, left):
+    """Of the landing's four slices only one got its folder; trying again gives all rows their numbers."""
+    path, other = str(tmp_path / "t"), str(tmp_path / "whole")
+    for table in (path, other):
+        land(numbered_log(15), table, "event_id", 10, "w", 0, batches_per_slice=2)
+    land(numbered_log(60, start=15), other, "event_id", 10, "w", 1, batches_per_slice=2)
+    below = "batch_rows=10/slice_batches=2"
+    chosen = f"{below}/slice={0 if left == 'first' else 3}/landing=000000000000015_w_1"
+    shutil.copytree(f"{other}/{chosen}", f"{path}/{chosen}")
+    land(numbered_log(60, start=15), path, "event_id", 10, "w", 1, batches_per_slice=2, again=True)
+    assert read(spark, path, 1, 99, include_final=True) == [(i // 10 + 1, i) for i in range(75)]
 
 
-def test_two_writers_do_not_mix(spark, numbered_log, tmp_path):
+def test_tables_keep_their_cut(spark, numbered_log, tmp_path):
     path = str(tmp_path / "t")
-    land_epoch(numbered_log(20), path, "event_id", 10, 3, "w")
-    land_epoch(numbered_log(20, start=20), path, "event_id", 10, 0, "v")
-    land_epoch(numbered_log(20), path, "event_id", 10, 2, "w")  # an earlier step, landed before
-    assert read(spark, path, 1, 9) == [(i // 10 + 1, i) for i in range(40)]
-    with pytest.raises(ValueError, match="batches of 10 rows"):
-        sources.land_batches(numbered_log(20), path, "event_id", size=11)
+    sources.land_batches(numbered_log(20), path, "event_id", size=10)
+    for how in ({"size": 11}, {"size": 10, "batches_per_slice": 3}):
+        with pytest.raises(ValueError, match="batches of 10 rows"):
+            sources.land_batches(numbered_log(20), path, "event_id", **how)
 
 
 def test_a_range_prunes_folders(spark, numbered_log, tmp_path):
@@ -214,26 +217,16 @@ def test_a_range_prunes_folders(spark, numbered_log, tmp_path):
     assert sorted(r.timestamp for r in df.collect()) == list(range(100, 200))
 
 
-def test_a_range_lists_only_epochs_that_hold_some_of_it(spark, numbered_log, tmp_path):
+def test_length_comes_from_the_last_slice(spark, numbered_log, tmp_path):
+    """No other slice's files are read for it: here they can't be."""
     path = str(tmp_path / "t")
-    for k in range(4):
-        sources.land_batches(numbered_log(25, start=25 * k), path, "event_id", size=10)
-    files = sources.read_batches(spark, path, 3, 4).inputFiles()
-    assert {f.split("epoch=")[1][0] for f in files} == {"0", "1"}
+    sources.land_batches(numbered_log(47), path, "event_id", size=10, batches_per_slice=2)
+    for file in (tmp_path / "t").glob("*/*/slice=0/*/*.parquet"):
+        file.write_bytes(b"unreadable")
+    assert extent(spark, path).total_rows == 47
     assert read(spark, path, 3, 4) == [(i // 10 + 1, i) for i in range(20, 40)]
 
 
-def test_the_log_is_compacted(spark, numbered_log, tmp_path, monkeypatch):
-    monkeypatch.setattr(landed, "COMPACT_AFTER", 3)
-    path = str(tmp_path / "t")
-    for k in range(8):
-        sources.land_batches(numbered_log(5, start=5 * k), path, "event_id", size=10)
-    assert sorted(p.name for p in (tmp_path / "t" / "log_compact").iterdir()) == ["through=2", "through=5"]
-    assert sorted(p.name for p in (tmp_path / "t" / "log").iterdir()) == [f"epoch={k}" for k in range(3, 8)]
-    assert landed.log_entries(spark, path).count() == 8
-    assert read(spark, path, 1, 4) == [(i // 10 + 1, i) for i in range(40)]
-
-
 def test_passes_over_the_input_of_a_landing(spark, numbered_log, tmp_path):
     """A count, a sample, the bucket counts and the numbering; the rows landed are counted from their files."""
     source = str(tmp_path / "source")

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,35 +66,34 @@ def test_restart_neither_loses_nor_repeats(spark, topic, tmp_path):
         assert landed_rows(spark, path) == expected(total, 100)
 
 
-@pytest.mark.parametrize("when", ["before the log entry", "after the log entry"])
+@pytest.mark.parametrize("when", ["before the commit", "within the commit", "after the commit"])
 def test_crash_inside_a_landing(spark, topic, tmp_path, monkeypatch, when):
     path, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
-    topic.send(150)
-    land_stream(topic.stream(), path, checkpoint, size=100).awaitTermination()
+    how = {"size": 10, "batches_per_slice": 3}
+    topic.send(50)
+    land_stream(topic.stream(), path, checkpoint, **how).awaitTermination()
 
     topic.send(120)
-    whole = landed.land_epoch
+    whole = landed.land
 
     def crashing(*args, **kwargs):
-        if when == "after the log entry":
+        if when != "before the commit":
             whole(*args, **kwargs)
-        else:
-            rows, _, order, size, epoch = args[:5]
-            ops.assign_batches(rows.limit(30), list(order), size).withColumn("slice", F.lit(0)).drop(
-                "partition", "offset", "is_final"
-            ).write.partitionBy("slice").parquet(f"{path}/events/epoch={epoch}")
+        if when == "within the commit":
+            for kept in (tmp_path / "t").glob("*/*/slice=[24]/landing=000000000000050_*"):
+                shutil.rmtree(kept)
         raise RuntimeError("machine lost")
 
-    monkeypatch.setattr("clickloom.streaming.landing.land_epoch", crashing)
+    monkeypatch.setattr("clickloom.streaming.landing.land_step", crashing)
     with pytest.raises(Exception, match="machine lost"):
-        land_stream(topic.stream(), path, checkpoint, size=100).awaitTermination()
-    if when == "before the log entry":
-        assert landed_rows(spark, path) == expected(150, 100)
+        land_stream(topic.stream(), path, checkpoint, **how).awaitTermination()
+    if when == "before the commit":
+        assert landed_rows(spark, path) == expected(50, 10)
 
-    monkeypatch.setattr("clickloom.streaming.landing.land_epoch", whole)
+    monkeypatch.setattr("clickloom.streaming.landing.land_step", whole)
     topic.send(10)
-    land_stream(topic.stream(), path, checkpoint, size=100).awaitTermination()
-    assert landed_rows(spark, path) == expected(280, 100)
+    land_stream(topic.stream(), path, checkpoint, **how).awaitTermination()
+    assert landed_rows(spark, path) == expected(180, 10)
 
 
 def test_new_checkpoint_does_not_overwrite(spark, topic, tmp_path):
