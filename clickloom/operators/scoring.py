@@ -24,10 +24,13 @@ MIN_RECOMMENDATIONS, MAX_RECOMMENDATIONS, DEFAULT_RECOMMENDATIONS = 1, 20, 5
 _RECS = "array<struct<itemid:int,rating:float>>"
 
 
-def recommend(model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATIONS) -> DataFrame:
+def recommend(
+    model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATIONS, exclude_seen: DataFrame | None = None
+) -> DataFrame:
     """Each row of ``users`` with its ``k`` best items, best first, in ``recommendations``.
 
-    Items a visitor already had are not left out. A visitor the model does not know, or
+    Items a visitor already had are not left out, unless ``exclude_seen`` has them: its pairs
+    ``visitorid, itemid``, such as those of the events, are never recommended. A visitor the model does not know, or
     whose id is no integer, gets an empty array. Only the visitors asked for are scored,
     each once. Factors are counted when this is called.
     """
@@ -35,7 +38,8 @@ def recommend(model: ALSModel, users: DataFrame, k: int = DEFAULT_RECOMMENDATION
         raise ValueError(f"k must be {MIN_RECOMMENDATIONS} to {MAX_RECOMMENDATIONS}, not {k}")
     known_id = F.col("visitorid").try_cast("int")
     wanted = users.select(known_id.alias("id")).filter("id IS NOT NULL").distinct()
-    ranked = rank_items(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k)
+    seen = exclude_seen and exclude_seen.select(known_id.alias("id"), F.col("itemid").try_cast("int").alias("itemid"))
+    ranked = rank_items(model.userFactors.join(wanted, "id", "left_semi"), model.itemFactors, k, seen=seen)
     return with_ranked(users, ranked, known_id)
 
 
