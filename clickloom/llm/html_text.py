@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm.html_blocks import MARK, PATH_SLOTS, Block, blocks
 from clickloom.llm.layouts import Layout
@@ -46,6 +47,7 @@ RATE = 0.02
 DROPPED = 0.05
 #: Blocks, padding included, that are labelled together.
 TOGETHER = 1 << 13
+_HASHES = 1 << 40
 
 _MARKS = byte_set((0x21, 0x21), (0x2C, 0x2C), (0x2E, 0x2E), (0x3A, 0x3B), (0x3F, 0x3F))
 _ENDS = byte_set((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
@@ -259,9 +261,16 @@ def training_pages(sample: list[str], count: int = LAYOUTS, seed: int = 11) -> l
 
 
 def train(pages: DataFrame, html: str = "html", most: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Labeller:
-    """Train on at most ``most`` pages' texts; which ones follows from their content alone."""
-    sample = pages.select(F.col(html).alias("html")).filter(F.char_length("html") <= chars)
-    sample = sample.orderBy(F.xxhash64("html"), "html").limit(most)
+    """Train on at most ``most`` pages' texts; which ones follows from the rows alone.
+
+    A row's hash says whether it is drawn, with a bound that about twice as many reach, so
+    tasks send no more than those, whatever the number of tasks and of equal pages.
+    """
+    plain = [f.name for f in pages.schema if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType, T.VariantType))]
+    reach = int(_HASHES * min(1.0, 2 * most / max(1, pages.count())))
+    sample = pages.select(F.col(html).alias("html"), F.xxhash64(*plain).alias("key"))
+    sample = sample.filter((F.pmod("key", F.lit(_HASHES)) < reach) & (F.char_length("html") <= chars))
+    sample = sample.orderBy("key", "html").limit(most)
     own = training_pages([r["html"] for r in sample.collect()])
     return fit([inputs(b) for b, _ in own], [labels for _, labels in own])
 
