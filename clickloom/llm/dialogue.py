@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache, wraps
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -43,7 +44,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from clickloom.llm.textbytes import CALL_BYTES
 
-#: Rows of one table of weights; longer runs are combined from several.
+#: Rows of one table of weights; longer runs are combined from several. Conversations of like roles share
+#: tables, so some thousand of each kind are kept.
 STEP = 128
 BLANKS = " \t\n\x0b\x0c\r"
 LEGAL = ("su", "ua", "au")
@@ -61,7 +63,7 @@ _D, _I, _K, _R = 1, 2, 3, 4
 _NEVER = 1 << 80
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Table:
     """least[q][o]: the least weight of all paths from state q to state o, with ``places`` octal places."""
 
@@ -86,6 +88,18 @@ class Table:
         return Table(places, out)
 
 
+def _kept(function):
+    """Keep results for tables, or numbers of places, that are no larger than one run's."""
+    cached = lru_cache(1 << 12)(function)
+
+    @wraps(function)  # tasks find it by its name
+    def call(first, *rest):
+        places = first.places if isinstance(first, Table) else first
+        return (cached if places <= 3 * STEP else function)(first, *rest)
+
+    return call
+
+
 def _split(weight: int, places: int) -> tuple[int, int, int]:
     """Cost, letters and their number."""
     low = weight & ((1 << 3 * places) - 1)
@@ -106,7 +120,8 @@ def _with_inserts(least: list[int], places: int) -> list[int]:
     return least
 
 
-def table_of(rows: list[tuple[str, bool, int]]) -> Table:
+@lru_cache(1 << 12)
+def table_of(rows: tuple[tuple[str, bool, int], ...]) -> Table:
     """The table of a run of rows: (first character of the role, whether it must go, cost of staying)."""
     places = 3 * len(rows)
     columns = []
@@ -131,6 +146,7 @@ def _ending() -> Table:
     return Table(2, [list(row) for row in zip(*columns)])
 
 
+@_kept
 def cheapest(table: Table) -> tuple[int, str]:
     """Cost and audit of a whole conversation."""
     whole = table.then(_ending())
@@ -156,8 +172,10 @@ class Fold:
         self.parts.append((level, table))
 
     def result(self) -> Table:
-        out = Table(0, [[0 if q == o else _NEVER for o in STATES] for q in STATES])
-        for _, table in reversed(self.parts):
+        if not self.parts:
+            return Table(0, [[0 if q == o else _NEVER for o in STATES] for q in STATES])
+        *before, (_, out) = self.parts
+        for _, table in reversed(before):
             out = table.then(out)
         return out
 
@@ -214,7 +232,7 @@ class Run:
 
     def close(self) -> None:
         if self.rows:
-            self.fold.add(table_of(self.rows))
+            self.fold.add(table_of(tuple(self.rows)))
             self.rows = []
 
     def join(self, other: Run, table: Table) -> None:
@@ -277,16 +295,22 @@ def _runs(schema: pa.Schema):
     def packed(conv, part, run):
         run.close()
         table = run.fold.result()
-        parts = [_split(w, table.places) for row in table.least for w in row]
-        costs = [None if c >= _NEVER else c for c, _, _ in parts]
-        letters = [None if c >= _NEVER else _letters(low, n, table.places) for c, low, n in parts]
+        costs, letters = _packed(table)
         counts = [getattr(run, n) for n in (*_COUNTS, "turns", "low", "high", "first", "last")]
         return (conv, part, *counts, table.places, costs, letters)
 
     return lambda batches: _batches(of(batches), schema)
 
 
-def _unpacked(places: int, costs: list, letters: list) -> Table:
+@_kept
+def _packed(table: Table) -> tuple[list, list]:
+    parts = [_split(w, table.places) for row in table.least for w in row]
+    costs = [None if c >= _NEVER else c for c, _, _ in parts]
+    return costs, [None if c >= _NEVER else _letters(low, n, table.places) for c, low, n in parts]
+
+
+@_kept
+def _unpacked(places: int, costs: tuple, letters: tuple) -> Table:
     weights = []
     for cost, own in zip(costs, letters):
         low = int(own.translate(_DIGITS), 8) << 3 * (places - len(own)) if own else 0
@@ -305,7 +329,7 @@ def _summaries(schema: pa.Schema):
                     yield summary(conv, whole)
                 conv, whole = own, Run()
             run = Run(**dict(zip((*_COUNTS, "turns", "low", "high"), counts)), first=first, last=last)
-            whole.join(run, _unpacked(places, costs, letters))
+            whole.join(run, _unpacked(places, tuple(costs), tuple(letters)))
         if whole is not None:
             yield summary(conv, whole)
 

@@ -116,7 +116,7 @@ def test_equals_the_least_of_all_ways(spark, monkeypatch, step):
 
 def test_runs_combine_like_one_run():
     draw = random.Random(2)
-    rows = [(draw.choice("suax"), draw.random() < 0.2, draw.randrange(2)) for _ in range(200)]
+    rows = tuple((draw.choice("suax"), draw.random() < 0.2, draw.randrange(2)) for _ in range(200))
     for size in (1, 7, 64):
         fold = d.Fold()
         for at in range(0, len(rows), size):
@@ -130,7 +130,7 @@ def test_one_conversation_over_many_tasks(spark):
     got = repaired(spark, rows)
     fold, seen = d.Fold(), set()
     for _, _, role, text in rows[:3000]:
-        fold.add(d.table_of([(role[:1], (role, text) in seen, 0)]))
+        fold.add(d.table_of(((role[:1], (role, text) in seen, 0),)))
         seen.add((role, text))
     assert got[1][5:7] == d.cheapest(fold.result())
     assert got[1][2] == 3000 - len(seen)
