@@ -1,8 +1,12 @@
 from clickloom.operators.batching import assign_batches, batch_summary, select_batches
 from clickloom.operators.features import (
-    transaction_features,
+    feature_parts,
+    merged_parts,
     segment_counts,
     segment_features,
+    segment_features_of,
+    transaction_features,
+    transaction_features_of,
     with_segment_ratios,
 )
 from clickloom.operators.filters import known_events, merge_batches, with_keys
@@ -24,8 +28,10 @@ __all__ = [
     "assign_batches",
     "batch_summary",
     "explode_recs",
+    "feature_parts",
     "known_events",
     "merge_batches",
+    "merged_parts",
     "rank_items",
     "ratings",
     "recommend",
@@ -33,9 +39,11 @@ __all__ = [
     "score_transactions",
     "segment_counts",
     "segment_features",
+    "segment_features_of",
     "segment_users",
     "select_batches",
     "transaction_features",
+    "transaction_features_of",
     "with_keys",
     "with_ranked",
     "with_segment_ratios",

@@ -1,3 +1,4 @@
+from clickloom.streaming.features import read_feature_parts, stream_features
 from clickloom.streaming.landing import BAD_COLUMN, land_stream
 
-__all__ = ["BAD_COLUMN", "land_stream"]
+__all__ = ["BAD_COLUMN", "land_stream", "read_feature_parts", "stream_features"]
