@@ -32,19 +32,19 @@ def safe_ratio(numerator: str, denominator: str) -> Column:
 def restored_id(column: str | Column, kind: T.DataType = T.LongType()) -> Column:
     """An id from text such as ``4000``, ``4000.0``, ``NaN`` or nothing; null for what is no id.
 
-    Going through decimal keeps ids beyond 2**53 exact, which a double would not. A number
-    with a fraction is no id.
+    Plain digits are cast at once. Other spellings go through decimal, which keeps ids beyond
+    2**53 exact, as a double would not. A number with a fraction is no id.
     """
     text = F.col(column) if isinstance(column, str) else column
     number = text.try_cast("decimal(38,18)")
-    return F.when(number == F.floor(number), number.try_cast(kind))
+    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
 
 
 def lost_id(column: str | Column, kind: T.DataType = T.LongType()) -> Column:
     """Whether the text, quoted or not, stands for an id that can't be restored."""
     text = F.col(column) if isinstance(column, str) else column
     bare = F.lower(F.btrim(text, F.lit('" ')))
-    return F.coalesce((bare != "nan") & (bare != "") & restored_id(text, kind).isNull(), F.lit(False))
+    return text.isNotNull() & restored_id(text, kind).isNull() & (bare != "nan") & (bare != "")
 
 
 def positive_probability(column: str = "probability") -> Column:

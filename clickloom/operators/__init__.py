@@ -1,4 +1,5 @@
 from clickloom.operators.batching import assign_batches, batch_summary, select_batches
+from clickloom.operators.dictionary import IdDictionary, number_ids
 from clickloom.operators.features import (
     feature_parts,
     merged_parts,
@@ -17,6 +18,7 @@ from clickloom.operators.scoring import (
     DEFAULT_RECOMMENDATIONS,
     explode_recs,
     recommend,
+    recommend_by_id,
     score_transactions,
     segment_users,
     with_ranked,
@@ -24,6 +26,7 @@ from clickloom.operators.scoring import (
 
 __all__ = [
     "DEFAULT_RECOMMENDATIONS",
+    "IdDictionary",
     "assembled_features",
     "assign_batches",
     "batch_summary",
@@ -32,9 +35,11 @@ __all__ = [
     "known_events",
     "merge_batches",
     "merged_parts",
+    "number_ids",
     "rank_items",
     "ratings",
     "recommend",
+    "recommend_by_id",
     "scaled_features",
     "score_transactions",
     "segment_counts",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import positive_probability
+from clickloom.operators.dictionary import IdDictionary
 from clickloom.operators.features import with_segment_ratios
 from clickloom.operators.ranking import rank_items
 from clickloom.schema import SEGMENT_COUNTS, SEGMENT_FEATURES, SEGMENT_RATIOS, TRANSACTION_FEATURES
@@ -43,6 +44,28 @@ def recommend(
     return with_ranked(users, ranked, known_id)
 
 
+def recommend_by_id(
+    model: ALSModel,
+    ids: IdDictionary,
+    users: DataFrame,
+    k: int = DEFAULT_RECOMMENDATIONS,
+    exclude_seen: DataFrame | None = None,
+) -> DataFrame:
+    """``recommend`` for a model of numbered ids: ``users``, ``exclude_seen`` and the items have ids of any type.
+
+    Equal scores rank by the items' numbers. A visitor whose id the dictionary doesn't know gets an empty array.
+    """
+    wanted = ids.numbered(users.select("visitorid").distinct()).dropna()
+    seen = exclude_seen and ids.numbered(exclude_seen.select("visitorid", "itemid"))
+    ranked = ids.restored(explode_recs(recommend(model, wanted, k, seen)))
+    row = F.struct("rank", F.struct("itemid", "rating").alias("rec"))
+    found = ranked.groupBy(F.col("visitorid").alias("_id")).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    recs = F.col("_rows.rec").alias("recommendations")
+    out = users.join(found.select("_id", recs), F.col("visitorid") == F.col("_id"), "left").drop("_id")
+    kind = out.schema["recommendations"].dataType
+    return out.withColumn("recommendations", F.coalesce("recommendations", F.array().cast(kind)))
+
+
 def with_ranked(users: DataFrame, ranked: DataFrame, known_id: Column) -> DataFrame:
     """``users`` with ``recommendations`` from ``ranked``, by the id that ``known_id`` makes of a row."""
     found = ranked.select(F.col("id").alias("_ranked_id"), F.col("ranked").cast(_RECS).alias("recommendations"))

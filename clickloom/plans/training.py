@@ -13,12 +13,15 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 
+from clickloom.operators.dictionary import IdDictionary
 from clickloom.operators.features import segment_features, transaction_features
+from clickloom.operators.filters import known_events, with_keys
 from clickloom.operators.ratings import ratings as to_ratings
 from clickloom.operators.scaling import assembler, scaler
-from clickloom.schema import SEGMENT_FEATURES, TRANSACTION_FEATURES, TRANSACTION_LABEL
+from clickloom.schema import EVENT_WEIGHTS, SEGMENT_FEATURES, TRANSACTION_FEATURES, TRANSACTION_LABEL
 from clickloom.session import ensure_checkpoints
-from clickloom.sources.model_store import model_path, save_model
+from clickloom.sources.counts import RowCounts
+from clickloom.sources.model_store import dictionary_path, model_path, save_model
 
 log = logging.getLogger(__name__)
 
@@ -78,6 +81,22 @@ def fit_recommender(ratings: DataFrame, seed: int = SEED, blocks: int = DEFAULT_
         return als.fit(ratings)
 
 
+def fit_recommender_by_id(
+    events: DataFrame, out: str, seed: int = SEED, blocks: int = DEFAULT_BLOCKS, dedupe: str | None = None
+) -> tuple[ALSModel, IdDictionary] | None:
+    """Fit on events whose visitors and items have ids of any type; model and dictionary are saved below ``out``.
+
+    ``None`` when there are no ratings.
+    """
+    keyed = with_keys(known_events(events, EVENT_WEIGHTS))
+    ids = IdDictionary.of(keyed).save(dictionary_path(out))
+    model = fit_recommender(to_ratings(ids.numbered(keyed), dedupe=dedupe), seed, blocks)
+    if model is None:
+        return None
+    save_model(model, model_path(out, "recommender"))
+    return model, ids
+
+
 def fit_transaction_predictor(features: DataFrame, seed: int = SEED) -> PipelineModel | None:
     """Scaled counts into a random forest of 50 trees; ``None`` when there are no visitors.
 
@@ -114,18 +133,20 @@ def train_all(
     """Fit and save every model on its own range of batches; a range without rows is skipped.
 
     ``read_range(first, last)`` gives the events, for instance
-    ``functools.partial(read_batches, spark, path)``.
+    ``functools.partial(read_batches, spark, path)``. How many events each model was fitted
+    on is logged; the fit itself counts them.
     """
     fits = {
         "recommender": lambda events: fit_recommender(to_ratings(events), seed, blocks),
         "transaction_predictor": lambda events: fit_transaction_predictor(transaction_features(events), seed),
         "user_segmentation": lambda events: fit_segments(segment_features(events)),
     }
-    models = {}
+    models, counts = {}, RowCounts()
     for name, (first, last) in ranges.items():
-        models[name] = fits[name](read_range(first, last))
+        models[name] = fits[name](counts.watch(read_range(first, last), name))
         if models[name] is None:
             log.warning("no data for %s in batches %d to %d", name, first, last)
         else:
+            log.info("%s: fitted on %d events of batches %d to %d", name, counts.rows(name), first, last)
             save_model(models[name], model_path(out, name))
     return models

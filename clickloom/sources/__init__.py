@@ -1,5 +1,7 @@
+from clickloom.sources.counts import RowCounts
 from clickloom.sources.csv_events import (
     corrupt_rows,
+    load_events_csv,
     read_batch_files,
     read_events_csv,
     write_batch_files,
@@ -9,10 +11,12 @@ from clickloom.sources.messages import decode_events, encode_events, publish_eve
 from clickloom.sources.model_store import load_models, save_model
 
 __all__ = [
+    "RowCounts",
     "corrupt_rows",
     "decode_events",
     "encode_events",
     "land_batches",
+    "load_events_csv",
     "load_models",
     "publish_events",
     "read_batch_files",

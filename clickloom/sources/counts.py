@@ -1,0 +1,28 @@
+"""Row counts that come with the work itself: no job of their own."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+
+class RowCounts:
+    """Counts rows of frames while something else computes them.
+
+    ``watch`` gives a frame to go on with; when it, or anything made of it, was computed as a
+    whole for the first time, ``rows`` tells how many there were. An action that stops early
+    counts only what it read, unless a shuffle or a cache stands between.
+    """
+
+    def __init__(self):
+        self._watched: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str) -> DataFrame:
+        if name in self._watched:
+            raise ValueError(f"{name} is watched already")
+        self._watched[name] = Observation(name)
+        return df.observe(self._watched[name], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self, name: str) -> int:
+        """Waits for the first computation, so ask afterwards."""
+        return self._watched[name].get["rows"]

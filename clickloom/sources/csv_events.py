@@ -31,10 +31,33 @@ def read_events_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 def corrupt_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row, ``n_rows`` and ``n_corrupt``: lines, and those with too few or too many
     values or with one that does not fit its column.
+    """
+    return _lines(spark, paths).agg(F.count("*").alias("n_rows"), F.count_if(_misfit()).alias("n_corrupt"))
+
+
+def load_events_csv(spark: SparkSession, paths: str | Sequence[str], out: str) -> tuple[DataFrame, DataFrame]:
+    """Write events and corrupt lines below ``out`` in one pass, and return them: five columns; ``file, line``.
 
-    Columns are read as text and tried here, because the reader only checks the columns
-    a query asks for.
+    A line with too few or too many values is kept as it is; one with a value that does not fit
+    its column as its values, joined by commas.
     """
+    spelled = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in EVENT_COLUMNS])
+    marked = _lines(spark, paths).withColumns(
+        {
+            "broken": _misfit(),
+            "file": F.when(_misfit(), F.col("_file")),
+            "line": F.when(_misfit(), F.coalesce(_CORRUPT, spelled)),
+        }
+    )
+    values = [F.when(~F.col("broken"), _fitted(f)).alias(f.name) for f in EVENT_SCHEMA.fields]
+    marked.select(*values, "file", "line", "broken").write.partitionBy("broken").parquet(out)
+    schema = T.StructType([*EVENT_SCHEMA.fields, *(T.StructField(c, T.StringType()) for c in ("file", "line"))])
+    rows = spark.read.schema(schema.add("broken", T.BooleanType())).parquet(out)
+    return rows.filter("NOT broken").select(*EVENT_COLUMNS), rows.filter("broken").select("file", "line")
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """All lines with their values as text, which are tried afterwards: the reader only checks columns a query asks for."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*EVENT_COLUMNS, _CORRUPT]])
     lines = (
         _reader(spark, schema)
@@ -42,14 +65,18 @@ def corrupt_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .option("columnPruning", False)
         .csv(_as_list(paths))
     )
-    misfits = [
-        F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-        for f in WIRE_SCHEMA.fields
-        if f.name not in ID_TYPES
-    ]
+    return lines.select(*EVENT_COLUMNS, _CORRUPT, F.col("_metadata.file_path").alias("_file"))
+
+
+def _fitted(field: T.StructField) -> Column:
+    return restored_id(field.name, field.dataType) if field.name in ID_TYPES else F.col(field.name).try_cast(field.dataType)
+
+
+def _misfit() -> Column:
+    """Whether a line of ``_lines`` is corrupt."""
+    misfits = [F.col(f.name).isNotNull() & _fitted(f).isNull() for f in WIRE_SCHEMA.fields if f.name not in ID_TYPES]
     misfits += [lost_id(name, kind) for name, kind in ID_TYPES.items()]
-    bad = reduce(Column.__or__, misfits, F.col(_CORRUPT).isNotNull())
-    return lines.agg(F.count("*").alias("n_rows"), F.count_if(bad).alias("n_corrupt"))
+    return reduce(Column.__or__, misfits, F.col(_CORRUPT).isNotNull())
 
 
 def read_batch_files(

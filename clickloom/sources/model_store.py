@@ -21,6 +21,11 @@ def model_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{MODEL_FOLDERS[name][0]}"
 
 
+def dictionary_path(base: str) -> str:
+    """Where the ids of a recommender that was fitted on numbered ones are."""
+    return f"{base.rstrip('/')}/recommender_ids_v1"
+
+
 def save_model(model: ALSModel | PipelineModel, path: str) -> None:
     """Write the model, in place of one that is there."""
     model.write().overwrite().save(path)

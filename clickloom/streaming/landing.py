@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.schema import BATCH_SIZE
 from clickloom.sources.landed import BATCHES_PER_SLICE
 from clickloom.sources.landed import land as land_step
+from clickloom.streaming.progress import stop_when_idle, with_counts
 
 
 #: The column with the text of a broken message, where a stream has one.
@@ -28,6 +29,7 @@ def land_stream(
     batches_per_slice: int = BATCHES_PER_SLICE,
     processing_time: str | None = None,
     bad_path: str | None = None,
+    idle_stop: float | None = None,
 ) -> StreamingQuery:
     """Start a query that lands ``stream`` below ``path`` and return it.
 
@@ -41,7 +43,9 @@ def land_stream(
     Rows whose ``BAD_COLUMN`` is not null are no events: their text and order columns go to
     ``bad_path``, a folder for each micro-batch, and the landing goes on past them.
 
-    The query takes what the source has and ends; with ``processing_time`` it goes on.
+    The query takes what the source has and ends; with ``processing_time`` it goes on, until it
+    has had no input for ``idle_stop`` seconds if that is given. ``batch_counts`` of the query
+    tells how many rows each micro-batch had.
     """
     if BAD_COLUMN in stream.columns and not bad_path:
         raise ValueError(f"a stream with {BAD_COLUMN} needs bad_path")
@@ -65,11 +69,14 @@ def land_stream(
             rows.unpersist()
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
+    counted = with_counts(stream, BAD_COLUMN if BAD_COLUMN in stream.columns else None)
     own["query"] = (
-        stream.writeStream.foreachBatch(land)
+        counted.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
     started.set()
+    if idle_stop is not None:
+        stop_when_idle(own["query"], stream.sparkSession.streams, idle_stop)
     return own["query"]
