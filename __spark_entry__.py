@@ -18,8 +18,9 @@ from clickloom import operators as ops
 from clickloom import plans, sources
 from clickloom.schema import EVENT_COLUMNS, SEGMENT_FEATURES, TRANSACTION_FEATURES
 from clickloom.session import scratch_path
+from clickloom.sources.model_store import model_path
 from clickloom.sources.tables import clickstream
-from clickloom.streaming import BAD_COLUMN, land_stream
+from clickloom.streaming import BAD_COLUMN, batch_counts, land_stream, read_feature_parts, stream_features
 
 # Rows per batch in the queries below: 10,000 would make one batch of the small test tables.
 BATCH_ROWS = 300
@@ -57,6 +58,27 @@ def corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.corrupt_rows(spark, path)
 
 
+def _broken_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Good events and corrupt lines of a file whose signups lack a value and whose errors have a visitor that is no integer."""
+    path = scratch_path(spark, "mixed-csv")
+    events = clickstream(spark, sf_dir, ["event_id"])
+    visitor = F.when(fn.is_event("error"), F.concat(F.col("visitorid").cast("string"), F.lit(".5"))).otherwise(F.col("visitorid").cast("string"))
+    values = [F.col("timestamp"), visitor, F.col("event"), F.col("itemid"), F.col("transactionid")]
+    spelled = [F.coalesce(v.cast("string"), F.lit("")) for v in values]
+    line = F.when(fn.is_event("signup"), F.concat_ws(",", *spelled[:4])).otherwise(F.concat_ws(",", *spelled))
+    # every file of a folder needs the header, so it is the name of the one column that is written as it is
+    events.select(line.alias(",".join(EVENT_COLUMNS))).write.options(header=True, quote="", escapeQuotes=False, sep="\t").csv(path)
+    return sources.load_events_csv(spark, path, scratch_path(spark, "loaded-csv"))
+
+
+def loaded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _broken_lines(spark, sf_dir)[0]
+
+
+def corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _broken_lines(spark, sf_dir)[1].select("line", F.col("file").endswith(".csv").alias("has_file"))
+
+
 def _batch_files(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "batch-files")
     sources.write_batch_files(assign_batches(spark, sf_dir), base)
@@ -135,6 +157,46 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_batches(spark, table, 1, 2**62, include_final=True)
 
 
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each start of a stream, as its micro-batches report them: all there is at first, then what is new."""
+    events = clickstream(spark, sf_dir, ["event_id"]).withColumn("partition", F.lit(0))
+    messages = sources.encode_events(events.withColumnRenamed("event_id", "offset"), keep=("partition", "offset"))
+    topic, table = scratch_path(spark, "counted"), scratch_path(spark, "counted-landed")
+    checkpoint, rows = scratch_path(spark, "counted-checkpoint"), []
+    for start, part in enumerate((F.col("offset") % 3 > 0, F.col("offset") % 3 == 0), 1):
+        messages.filter(part).write.mode("append").parquet(topic)
+        arrived = spark.readStream.schema(messages.schema).parquet(topic)
+        query = land_stream(sources.decode_events(arrived, keep=("partition", "offset")), table, checkpoint, size=BATCH_ROWS)
+        query.awaitTermination()
+        rows.append((start, sum(n for _, n, _ in batch_counts(query)), sum(bad for *_, bad in batch_counts(query))))
+    return spark.createDataFrame(rows, "start int, n_rows bigint, n_bad bigint")
+
+
+def _streamed_parts(spark: SparkSession, sf_dir: str, distinct: str) -> DataFrame:
+    """The table arrives in two parts; the stream is stopped in between and goes on from its checkpoint."""
+    events = clickstream(spark, sf_dir, ["event_id"])
+    log, path = scratch_path(spark, "events"), scratch_path(spark, "live-features")
+    checkpoint = scratch_path(spark, "live-checkpoint")
+    for part in (F.col("event_id") % 5 < 3, F.col("event_id") % 5 >= 3):
+        events.filter(part).write.mode("append").parquet(log)
+        arrived = spark.readStream.schema(events.schema).parquet(log)
+        stream_features(arrived, path, checkpoint, distinct).awaitTermination()
+    return read_feature_parts(spark, path)
+
+
+def stream_features_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.transaction_features_of(_streamed_parts(spark, sf_dir, "exact"))
+
+
+def stream_features_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches are exact for as few items as the table has."""
+    return ops.transaction_features_of(_streamed_parts(spark, sf_dir, "approximate"))
+
+
+def stream_segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.segment_features_of(_streamed_parts(spark, sf_dir, "exact"))
+
+
 # Filters, projections, unions
 
 
@@ -232,6 +294,20 @@ def segment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.segment_features(clickstream(spark, sf_dir))
 
 
+def approximate_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches are exact for as few items as the table has."""
+    return ops.transaction_features(clickstream(spark, sf_dir), distinct="approximate")
+
+
+def merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of three thirds of the table, made each by itself and merged."""
+    events = clickstream(spark, sf_dir, ["event_id"])
+    first, *others = (ops.feature_parts(events.filter(F.col("event_id") % 3 == k)) for k in range(3))
+    for part in others:
+        first = first.unionByName(part)
+    return ops.transaction_features_of(first)
+
+
 def _elements(df: DataFrame, vector: str, names: list[str]) -> DataFrame:
     """One column per vector element; rounded, and without a negative zero."""
     values = vector_to_array(F.col(vector))
@@ -326,9 +402,124 @@ def unknown_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.select("visitorid", F.size("recommendations").cast("bigint").alias("n_recommendations"))
 
 
+def rank_items_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items in blocks of sixteen by the length of their factors; visitors meet those that can hold one of their best."""
+    events = clickstream(spark, sf_dir)
+    ranked = ops.rank_items(_kinds_by(events, "visitorid"), _kinds_by(events, "itemid", (5, 3, 2)), 5, items_per_block=16)
+    return ranked.select(F.col("id").alias("visitorid"), F.inline("ranked")).select("visitorid", "itemid", "rating")
+
+
+def rank_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No visitor gets an item it has had a transaction with."""
+    events = clickstream(spark, sf_dir)
+    seen = events.filter(fn.is_event("transaction")).select(F.col("visitorid").alias("id"), "itemid")
+    sides = _kinds_by(events, "visitorid"), _kinds_by(events, "itemid", (5, 3, 2))
+    ranked = ops.rank_items(*sides, 10, items_per_block=16, seen=seen)
+    return ranked.select(F.col("id").alias("visitorid"), F.inline("ranked")).select("visitorid", "itemid", "rating")
+
+
+def _with_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors beyond 32 bits, as text, and items with a prefix."""
+    wide = (F.col("visitorid").cast("bigint") + F.lit(2**40)).cast("string")
+    return clickstream(spark, sf_dir).withColumns({"visitorid": wide, "itemid": F.concat(F.lit("item-"), F.col("itemid").cast("string"))})
+
+
+def numbered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many numbers each dictionary has, and the least and greatest."""
+    ids = ops.IdDictionary.of(_with_text_ids(spark, sf_dir))
+    return ids.visitors.withColumn("side", F.lit("visitors")).unionByName(ids.items.withColumn("side", F.lit("items"))).groupBy("side").agg(
+        F.count_distinct("number").alias("n_ids"), F.min("number").alias("least"), F.max("number").alias("greatest")
+    )
+
+
+def restored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with numbers for ids, saved and loaded, and ids for numbers again."""
+    events = _with_text_ids(spark, sf_dir)
+    ids = ops.IdDictionary.of(events).save(scratch_path(spark, "dictionary"))
+    return ids.restored(ids.numbered(events))
+
+
+def recommend_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visitors with ids as text: how many items each is recommended, whether they differ, fall in rating and are in the table."""
+    events = _with_text_ids(spark, sf_dir)
+    model, ids = plans.fit_recommender_by_id(events, scratch_path(spark, "models"))
+    recommended = ops.recommend_by_id(model, ids, events.select("visitorid").distinct(), 5)
+    return _shape(recommended, events.select("itemid").distinct())
+
+
+def _shape(recommended: DataFrame, items: DataFrame) -> DataFrame:
+    """What holds for any model's recommendations, visitor by visitor."""
+    rows = recommended.select("visitorid", F.posexplode_outer("recommendations").alias("pos", "rec"))
+    rows = rows.select("visitorid", "pos", "rec.*").join(items.withColumn("known", F.lit(True)), "itemid", "left")
+    ratings_in_order = F.array_sort(F.collect_list(F.struct("pos", F.col("rating").cast("double").alias("rating"))))
+    gathered = rows.groupBy("visitorid").agg(
+        F.count("itemid").alias("n_items"), F.count_distinct("itemid").alias("n_different"), F.count("known").alias("n_known"), ratings_in_order.alias("ratings")
+    )
+    steps = F.zip_with(F.col("ratings.rating"), F.slice("ratings.rating", 2, F.greatest(F.size("ratings") - 1, F.lit(0))), lambda a, b: F.coalesce(a >= b, F.lit(True)))
+    return gathered.select("visitorid", "n_items", "n_different", "n_known", F.forall(steps, lambda x: x).alias("falls"))
+
+
 # What must hold for any fit, computed from the fit
 
 
+def recommended_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ``recommend_topk``: five different items of the table for each visitor, best first; none for one it doesn't have."""
+    return _shape(recommend_topk(spark, sf_dir), clickstream(spark, sf_dir).select("itemid").distinct())
+
+
+def unseen_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommending without what a visitor has had: how many items that leaves, up to 20, and that none was had."""
+    events = clickstream(spark, sf_dir)
+    model = plans.fit_recommender(ops.ratings(events))
+    had = events.filter(fn.is_event("transaction")).select("visitorid", "itemid")
+    given = ops.explode_recs(ops.recommend(model, events.select("visitorid").distinct(), 20, exclude_seen=had))
+    marked = given.join(had.distinct().withColumn("had", F.lit(1)), ["visitorid", "itemid"], "left")
+    return marked.groupBy("visitorid").agg(F.count_distinct("itemid").alias("n_items"), F.count("had").alias("n_had"))
+
+
+def exploded_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ``explode_recs``: the ranks of each visitor."""
+    return explode_recs(spark, sf_dir).select("visitorid", F.col("rank").cast("bigint").alias("rank"))
+
+
+def segmented_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ``segment_users``: every visitor is in one of five segments, and no segment is empty."""
+    rows = segment_users(spark, sf_dir)
+    used = rows.agg(F.count_distinct("cluster_id").alias("n_segments"))
+    return rows.join(F.broadcast(used)).select("visitorid", F.col("cluster_id").between(0, 4).alias("in_range"), "n_segments")
+
+
+def trained_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ``train_all``: each visitor's decision follows from its probability, it has a segment, and items if its range knew it."""
+    rows = train_all(spark, sf_dir)
+    return rows.select(
+        "visitorid",
+        (F.col("probability").between(0, 1) & (F.col("will_transact") == (F.col("probability") > 0.5))).alias("decided"),
+        F.col("cluster_id").between(0, 4).alias("has_segment"),
+        F.size("recommendations").cast("bigint").alias("n_recommendations"),
+    )
+
+
+def empty_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges beyond the landed table: no events, no model, and a warning for each that is not there to load."""
+    read, store = _landed_for_models(spark, sf_dir), scratch_path(spark, "models")
+    beyond = {name: (last + 1_000, last + 2_000) for name, (_, last) in MODEL_RANGES.items()}
+    fitted = plans.train_all(read, store, beyond)
+    loaded, warnings = sources.load_models(store)
+    rows = [(name, read(*beyond[name]).count(), fitted[name] is not None, name in loaded, any(f"model {name} " in w for w in warnings)) for name in beyond]
+    return spark.createDataFrame(rows, "model string, n_events bigint, was_fitted boolean, was_loaded boolean, has_warning boolean")
+
+
+def model_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One model is fitted and saved, one folder holds something else, one is missing."""
+    store = scratch_path(spark, "models")
+    sources.save_model(plans.fit_segments(segment_features(spark, sf_dir)), model_path(store, "user_segmentation"))
+    clickstream(spark, sf_dir).write.parquet(model_path(store, "recommender"))
+    loaded, warnings = sources.load_models(store)
+    rows = [(name, name in loaded, sum(f"model {name} " in w for w in warnings)) for name in MODEL_RANGES]
+    return spark.createDataFrame(rows, "model string, was_loaded boolean, n_warnings bigint")
+
+
 def recommender_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Factors for every visitor and item rated, and an error below that of the mean rating."""
     rated = ops.ratings(clickstream(spark, sf_dir))
@@ -506,6 +697,26 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             segment_users_with_gaps,
             reloaded_models,
             training_ranges,
+            loaded_events,
+            corrupt_lines,
+            stream_batch_counts,
+            stream_features_exact,
+            stream_features_approximate,
+            stream_segment_features,
+            approximate_features,
+            merged_features,
+            rank_items_pruned,
+            rank_unseen,
+            numbered_ids,
+            restored_ids,
+            recommend_text_ids,
+            recommended_shape,
+            unseen_shape,
+            exploded_ranks,
+            segmented_users,
+            trained_scores,
+            empty_ranges,
+            model_warnings,
         )
     }
 
@@ -586,6 +797,9 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY visitorid ORDER BY rating DESC, itemid) AS rank FROM scored)"""
 
+# Five different items that the table has.
+_FIVE_ITEMS = "5::BIGINT AS n_items, 5::BIGINT AS n_different, 5::BIGINT AS n_known"
+
 # The model queries' batches: 33 equal ones and a remainder.
 _MODEL_BATCHES = f"""
 sized AS (SELECT count(*) // {MODEL_BATCHES} AS size FROM clicks),
@@ -705,6 +919,62 @@ def library_sql() -> dict[str, str]:
             WHERE {_in_range("transaction_predictor")}
             UNION ALL SELECT 'user_segmentation', count(DISTINCT visitorid) FROM model_batches
             WHERE {_in_range("user_segmentation")}""",
+        "loaded_events": f"WITH {_EVENTS} SELECT {_FIVE} FROM clicks WHERE event NOT IN ('signup', 'error')",
+        "corrupt_lines": f"""WITH {_EVENTS}
+            SELECT concat_ws(',', timestamp, visitorid || CASE WHEN event = 'error' THEN '.5' ELSE '' END, event, itemid)
+                   || CASE WHEN event = 'error' THEN ',' ELSE '' END AS line, true AS has_file
+            FROM clicks WHERE event IN ('signup', 'error')""",
+        "stream_batch_counts": f"""WITH {_EVENTS}
+            SELECT CASE WHEN event_id % 3 > 0 THEN 1 ELSE 2 END AS start, count(*) AS n_rows, 0::BIGINT AS n_bad
+            FROM clicks GROUP BY 1""",
+        "stream_features_exact": f"WITH {_EVENTS}, {tf} SELECT * FROM tf",
+        "stream_features_approximate": f"WITH {_EVENTS}, {tf} SELECT * FROM tf",
+        "stream_segment_features": f"WITH {_EVENTS}, {_SEGMENT_FEATURES} SELECT * FROM sf",
+        "approximate_features": f"WITH {_EVENTS}, {tf} SELECT * FROM tf",
+        "merged_features": f"WITH {_EVENTS}, {tf} SELECT * FROM tf",
+        "rank_items_pruned": f"""WITH {_EVENTS}, {_RANKED}
+            SELECT visitorid, itemid, rating FROM ranked WHERE rank <= 5""",
+        "rank_unseen": f"""WITH {_EVENTS}, {_RANKED},
+            left_over AS (
+              SELECT visitorid, itemid, rating, row_number() OVER (PARTITION BY visitorid ORDER BY rating DESC, itemid) AS place
+              FROM ranked ANTI JOIN (SELECT visitorid, itemid FROM clicks WHERE event = 'transaction') USING (visitorid, itemid))
+            SELECT visitorid, itemid, rating FROM left_over WHERE place <= 10""",
+        "numbered_ids": f"""WITH {_EVENTS}
+            SELECT 'visitors' AS side, count(DISTINCT visitorid) AS n_ids, 0 AS least,
+                   CAST(count(DISTINCT visitorid) - 1 AS INTEGER) AS greatest FROM clicks
+            UNION ALL SELECT 'items', count(DISTINCT itemid), 0, CAST(count(DISTINCT itemid) - 1 AS INTEGER) FROM clicks""",
+        "restored_ids": f"""WITH {_EVENTS}
+            SELECT timestamp, CAST(visitorid + {2**40} AS VARCHAR) AS visitorid, event, 'item-' || itemid AS itemid, transactionid
+            FROM clicks""",
+        "recommend_text_ids": f"""WITH {_EVENTS}
+            SELECT CAST(visitorid + {2**40} AS VARCHAR) AS visitorid, {_FIVE_ITEMS}, true AS falls FROM clicks GROUP BY visitorid""",
+        "recommended_shape": f"""WITH {_EVENTS}
+            SELECT visitorid, {_FIVE_ITEMS}, true AS falls FROM clicks GROUP BY visitorid
+            UNION ALL SELECT -max(visitorid), 0, 0, 0, true FROM clicks""",
+        "unseen_shape": f"""WITH {_EVENTS}
+            SELECT visitorid, least(20, (SELECT count(DISTINCT itemid) FROM clicks WHERE {_WEIGHT} > 0)
+                   - count(DISTINCT itemid) FILTER (event = 'transaction')) AS n_items, 0::BIGINT AS n_had
+            FROM clicks GROUP BY visitorid
+            HAVING count(*) FILTER ({_WEIGHT} > 0) > 0 AND n_items > 0""",
+        "exploded_ranks": f"""WITH {_EVENTS}
+            SELECT visitorid, unnest(range(1, 6)) AS rank FROM clicks GROUP BY visitorid""",
+        "segmented_users": f"""WITH {_EVENTS}
+            SELECT visitorid, true AS in_range, 5::BIGINT AS n_segments FROM clicks GROUP BY visitorid""",
+        "trained_scores": f"""WITH {_EVENTS}, {_MODEL_BATCHES},
+            known AS (
+              SELECT DISTINCT visitorid FROM model_batches
+              WHERE {_in_range("recommender")} AND {_WEIGHT} > 0 AND itemid IS NOT NULL)
+            SELECT visitorid, true AS decided, true AS has_segment,
+                   CASE WHEN visitorid IN (SELECT visitorid FROM known) THEN 3::BIGINT ELSE 0 END AS n_recommendations
+            FROM clicks GROUP BY visitorid""",
+        "empty_ranges": f"""WITH {_EVENTS}, {_MODEL_BATCHES}
+            SELECT model, (SELECT count(*) FROM model_batches WHERE batch_no > 1000) AS n_events,
+                   false AS was_fitted, false AS was_loaded, true AS has_warning
+            FROM (SELECT unnest({list(MODEL_RANGES)}) AS model)""",
+        "model_warnings": f"""WITH {_EVENTS}
+            SELECT model, model = 'user_segmentation' AS was_loaded,
+                   CASE WHEN model = 'user_segmentation' THEN 0::BIGINT ELSE 1 END AS n_warnings
+            FROM (SELECT unnest({list(MODEL_RANGES)}) AS model) WHERE (SELECT count(*) FROM clicks) > 0""",
     }
 
 
