@@ -7,9 +7,12 @@ neighbour before, and the nodes above them. Pieces of up to ``WIDE`` bytes are m
 at a time, each a row of one array of trees; a longer piece has a tree of its own.
 
 Pieces are the matches of the split pattern, each encoded separately, without special
-tokens. What a letter or number is follows the Unicode version of the regex package, here 17;
-a library that knows 16 splits otherwise around characters first assigned in 17. Within a task, the ids of pieces seen before are remembered (``REMEMBERED`` pieces
-at most, then it starts over); what is remembered changes nothing but time.
+tokens. What a letter or number is, is asked of the tokenizer library when the job is planned
+and travels with the tasks, so it follows neither the version of the package that matches the
+pattern nor what is installed on executors: a character that the package takes for something
+else is replaced, for matching alone, by one that both take for what the library does. Within
+a task, the ids of pieces seen before are remembered (``REMEMBERED`` pieces at most, then it
+starts over); what is remembered changes nothing but time.
 
 Defined cases: a null or empty text has no ids and decodes to nothing; rows with equal ids
 are encoded each on its own; ids come as little-endian unsigned 32-bit integers; decoding
@@ -20,11 +23,13 @@ whatever their names.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +40,8 @@ REMEMBERED = 200_000
 TOGETHER = 1 << 20
 NONE = np.int64(1) << 62
 
+_CLASS = re.compile(r"\\p\{(\w+)\}")
+
 #: Fixed value: the characters with Unicode's White_Space property, which \s stands for.
 WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -45,6 +52,56 @@ def split_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(inside.replace(r"\s", f"[{WHITE_SPACE}]").replace(r"\S", f"[^{WHITE_SPACE}]"))
 
 
+Classes = tuple[tuple[str, tuple[tuple[int, int], ...]], ...]
+
+
+def _every() -> str:
+    return "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+@lru_cache(maxsize=8)
+def library_classes(pattern: str) -> Classes:
+    """The ranges of code points that the tokenizer library takes for each class ``\\p{...}`` of a pattern."""
+    bytes_alone = {bytes([b]): b for b in range(256)}
+    out = []
+    for name in sorted(set(_CLASS.findall(pattern))):
+        probe = tiktoken.Encoding("probe", pat_str=rf"\p{{{name}}}", mergeable_ranks=bytes_alone, special_tokens={})
+        points = np.frombuffer(bytes(probe.encode_ordinary(_every())).decode().encode("utf-32-le"), "<u4").astype(np.int64)
+        first = np.flatnonzero(np.diff(points, prepend=-2) > 1)
+        last = np.append(first[1:], len(points)) - 1
+        out.append((name, tuple(zip(points[first].tolist(), points[last].tolist()))))
+    return tuple(out)
+
+
+class Splitter:
+    """Splits text by a pattern whose classes hold what ``classes`` says."""
+
+    def __init__(self, pattern: str, classes: Classes):
+        own = split_pattern(pattern)
+        self.find, self.finditer = own.findall, own.finditer
+        every = _every()
+        theirs = np.zeros((len(classes), 0x110000), bool)
+        ours = np.zeros_like(theirs)
+        for k, (name, ranges) in enumerate(classes):
+            for low, high in ranges:
+                theirs[k, low : high + 1] = True
+            ours[k, list(map(ord, regex.findall(rf"\p{{{name}}}", every)))] = True
+        odd = (theirs != ours).any(axis=0)
+        places = 1 << np.arange(len(classes))
+        kinds = (theirs * places[:, None]).sum(axis=0)
+        plain = ~odd
+        plain[[*range(0xA1), *range(0xD800, 0xE000), *map(ord, regex.findall(f"[{WHITE_SPACE}]", every))]] = False
+        instead = {int(k): int(np.flatnonzero(plain & (kinds == k))[0]) for k in np.unique(kinds[odd])}
+        self.table = {int(c): instead[int(kinds[c])] for c in np.flatnonzero(odd)}
+        # a first glance at the range that odd characters lie in passes most texts
+        self.glance = re.compile(f"[{chr(min(self.table))}-{chr(max(self.table))}]").search if self.table else lambda text: None
+
+    def pieces(self, text: str) -> list[str]:
+        if self.glance(text) is None:
+            return self.find(text)
+        return [text[slice(*m.span())] for m in self.finditer(text.translate(self.table))]
+
+
 class Vocabulary:
     """Ranks of byte strings (``base64 rank`` lines), and the rank of each pair of ranks that merges."""
 
@@ -182,9 +239,9 @@ def merge_long(vocabulary: Vocabulary, piece: bytes) -> bytes:
 
 
 class Encoder:
-    def __init__(self, lines: bytes, pattern: str):
+    def __init__(self, lines: bytes, pattern: str, classes: Classes):
         self.vocabulary = Vocabulary(lines)
-        self.find = split_pattern(pattern).findall
+        self.pieces = Splitter(pattern, classes).pieces
         self.whole = {k: np.uint32(v).tobytes() for k, v in self.vocabulary.ranks.items()}
         self.known: dict[str, bytes] = {}
 
@@ -194,7 +251,7 @@ class Encoder:
         waiting: list[list[str]] = []
         chars = 0
         for k, text in enumerate(texts):
-            waiting.append(self.find(text) if text else [])
+            waiting.append(self.pieces(text) if text else [])
             chars += len(text or "")
             if chars >= TOGETHER or k == len(texts) - 1:
                 if len(self.known) > REMEMBERED:
@@ -223,21 +280,21 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(lines: bytes, pattern: str) -> Encoder:
-    return Encoder(lines, pattern)
+def encoder(lines: bytes, pattern: str, classes: Classes) -> Encoder:
+    return Encoder(lines, pattern, classes)
 
 
-def _encoded(lines: bytes, pattern: str):
+def _encoded(lines: bytes, pattern: str, classes: Classes):
     def make():
-        own = encoder(lines, pattern)
+        own = encoder(lines, pattern, classes)
         return lambda texts: pa.array(own.encode(texts.to_pylist()), pa.binary())
 
     return make
 
 
-def _decoded(lines: bytes, pattern: str):
+def _decoded(lines: bytes, pattern: str, classes: Classes):
     def make():
-        own = encoder(lines, pattern)
+        own = encoder(lines, pattern, classes)
         return lambda ids: pa.array([own.decode(x or b"") for x in ids.to_pylist()], pa.binary())
 
     return make
@@ -251,17 +308,17 @@ def read_ranks(path: str) -> bytes:
 
 def encode(text: Column, ranks: bytes, pattern: str) -> Column:
     """The ids of each text, packed as little-endian unsigned 32-bit integers."""
-    return text_udf(_encoded(ranks, pattern), "binary")(text)
+    return text_udf(_encoded(ranks, pattern, library_classes(pattern)), "binary")(text)
 
 
 def decode(ids: Column, ranks: bytes, pattern: str) -> Column:
     """The bytes that packed ids stand for."""
-    return text_udf(_decoded(ranks, pattern), "binary")(ids)
+    return text_udf(_decoded(ranks, pattern, library_classes(pattern)), "binary")(ids)
 
 
-def _both(lines: bytes, pattern: str):
+def _both(lines: bytes, pattern: str, classes: Classes):
     def make():
-        own = encoder(lines, pattern)
+        own = encoder(lines, pattern, classes)
 
         def both(texts: pa.Array) -> pa.Array:
             ids = own.encode(texts.to_pylist())
@@ -275,6 +332,6 @@ def _both(lines: bytes, pattern: str):
 
 def round_trip(documents: DataFrame, ranks: bytes, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: its id, its packed ``ids`` and the bytes ``decoded`` from them."""
-    both = text_udf(_both(ranks, pattern), "struct<ids: binary, decoded: binary>")
+    both = text_udf(_both(ranks, pattern, library_classes(pattern)), "struct<ids: binary, decoded: binary>")
     own = documents.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("r"))
     return own.select("doc_id", "r.ids", "r.decoded")

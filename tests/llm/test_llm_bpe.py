@@ -4,6 +4,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 from test_llm_texts import ODD_TEXTS
 
@@ -12,6 +13,7 @@ from clickloom.llm import packing
 
 RANKS = b.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 PATTERN = public_tokenizers.PATTERN
+CLASSES = b.library_classes(PATTERN)
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +35,35 @@ def random_texts(n):
 
 def test_matches_the_library(library):
     texts = [t for t in ODD_TEXTS if t] + random_texts(1500) + ["ab" * 3000, "é" * 999, "\n" * 500 + "x", "thequickbrown" * 300]
-    for text, packed in zip(texts, b.encoder(RANKS, PATTERN).encode(texts)):
+    for text, packed in zip(texts, b.encoder(RANKS, PATTERN, CLASSES).encode(texts)):
+        assert ids(packed) == library.encode_ordinary(text)
+
+
+def test_every_code_point_is_what_the_library_takes_it_for():
+    """Alone, with the pattern's classes one by one: letters, numbers and what is neither."""
+    splitter = b.Splitter(PATTERN, CLASSES)
+    every = b._every()
+    read = every.translate(splitter.table)
+    for name, ranges in CLASSES:
+        inside = np.zeros(0x110000, bool)
+        for low, high in ranges:
+            inside[low : high + 1] = True
+        got = np.array([m is not None for m in map(regex.compile(rf"\p{{{name}}}").match, read)])
+        assert (got == inside[list(map(ord, every))]).all()
+    assert len(splitter.table) > 1000 and all(not chr(c).isspace() for c in splitter.table.values())
+
+
+def test_code_points_beside_letters_digits_and_syllables(library):
+    """Every one that could be read otherwise, and all of the first planes in steps."""
+    odd = sorted(b.Splitter(PATTERN, CLASSES).table)
+    points = [*odd, *range(0x80, 0xD800, 7), *range(0xE000, 0x20000, 11)]
+    texts = ["\n".join(f"{c} a{c}a 1{c}1 각{c}각 {c}{c} '{c}" for c in map(chr, points[k : k + 500])) for k in range(0, len(points), 500)]
+    for text, packed in zip(texts, b.encoder(RANKS, PATTERN, CLASSES).encode(texts)):
         assert ids(packed) == library.encode_ordinary(text)
 
 
 def test_wide_and_long_merges_agree():
-    vocabulary = b.encoder(RANKS, PATTERN).vocabulary
+    vocabulary = b.encoder(RANKS, PATTERN, CLASSES).vocabulary
     draw = random.Random(2)
     pieces = [bytes(draw.choice(b"aeinorst \xc3\xa9") for _ in range(n)) for n in range(2, b.WIDE + 1) for _ in range(10)]
     assert b.merge_many(vocabulary, pieces) == [b.merge_long(vocabulary, p) for p in pieces]
@@ -46,10 +71,10 @@ def test_wide_and_long_merges_agree():
 
 def test_forgetting_changes_nothing(monkeypatch):
     texts = random_texts(200)
-    want = b.Encoder(RANKS, PATTERN).encode(texts)
+    want = b.Encoder(RANKS, PATTERN, CLASSES).encode(texts)
     monkeypatch.setattr(b, "REMEMBERED", 0)
     monkeypatch.setattr(b, "TOGETHER", 1)
-    assert b.Encoder(RANKS, PATTERN).encode(texts) == want
+    assert b.Encoder(RANKS, PATTERN, CLASSES).encode(texts) == want
 
 
 def test_round_trip_of_a_frame(documents):
