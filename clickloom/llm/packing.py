@@ -10,6 +10,8 @@ Each packed row has the ids (little-endian, ``id_bytes`` wide, padded), the cumu
 segment lengths, the positions, which start anew at every segment, and for each segment its
 document and where in the document's ids it begins.
 
+The query writes the packed rows below the shared folder and reads them from there.
+
 Defined cases: null and empty ids make no segment. Rows with equal ids are packed each on
 its own. Which documents share a row follows from how the input is dealt to tasks; a task
 that runs again packs the same rows again. An id too large for ``id_bytes`` raises an error.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -154,8 +156,28 @@ def pack(
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
-    """Write packed rows as Parquet: a file's ``ids``, one after another, are a matrix of equal rows."""
-    packed.write.mode("error").parquet(path)
+    """Write packed rows as Parquet: a file's ``ids``, one after another, are a matrix of equal rows.
+
+    Positions rise by one within a segment, which the files' compression makes little of.
+    """
+    packed.write.mode("error").option("compression", "zstd").parquet(path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``write_packed`` wrote."""
+    return spark.read.parquet(path)
+
+
+def unpacked(packed: DataFrame, id_bytes: int = 2) -> DataFrame:
+    """The segments of packed rows: ``doc_id, doc_offset, ids``, ids as little-endian unsigned integers of ``id_bytes``.
+
+    A document's segments, in the order of their offsets, are all of its ids.
+    """
+    pieces = F.posexplode(F.arrays_zip("doc_ids", "doc_offsets")).alias("nth", "piece")
+    rows = packed.select("ids", "cu_seqlens", pieces)
+    start, end = F.get("cu_seqlens", F.col("nth")), F.get("cu_seqlens", F.col("nth") + 1)
+    cut = F.substring(F.col("ids"), start * id_bytes + 1, (end - start) * id_bytes)
+    return rows.select(F.col("piece.doc_ids").alias("doc_id"), F.col("piece.doc_offsets").alias("doc_offset"), cut.alias("ids"))
 
 
 def read_matrix(rows: list, column: str = "ids", id_bytes: int = 2) -> np.ndarray:

@@ -56,11 +56,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per packed row; documents end with the id that the vocabulary leaves free."""
+    """One row per packed row, as written and read again; documents end with the id that the vocabulary leaves free."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     ids = packing.library_ids(F.col("text"), ranks, public_tokenizers.PATTERN)
-    packed = packing.pack(_table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")), end_id=50256)
-    return packed.select(
+    path = scratch_path(spark, "packed")
+    packing.write_packed(packing.pack(_table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids")), end_id=50256), path)
+    return packing.read_packed(spark, path).select(
         "doc_ids",
         "doc_offsets",
         "cu_seqlens",

@@ -156,3 +156,15 @@ def test_library_ids(documents, library):
     docs = documents(*enumerate(ODD_TEXTS))
     rows = docs.select("text", packing.library_ids(docs.text, RANKS, PATTERN).alias("ids")).collect()
     assert all(ids(r.ids) == library.encode_ordinary(r.text or "") for r in rows)
+
+
+def test_all_ids_come_back_from_the_files(spark, library, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    tokens = docs.select("doc_id", packing.library_ids(docs.text, RANKS, PATTERN).alias("ids"))
+    packing.write_packed(packing.pack(tokens, length=512, window=4096, end_id=50256), str(tmp_path / "packed"))
+    parts = {}
+    for r in packing.unpacked(packing.read_packed(spark, str(tmp_path / "packed"))).collect():
+        parts.setdefault(r.doc_id, []).append((r.doc_offset, np.frombuffer(r.ids, "<u2").tolist()))
+    got = {doc: [i for _, own in sorted(pieces) for i in own] for doc, pieces in parts.items()}
+    texts = {r.doc_id: library.encode_ordinary(r.text or "") for r in docs.collect()}
+    assert got == {doc: [*own, 50256] for doc, own in texts.items() if own}
