@@ -1,5 +1,7 @@
 import random
 import re
+import string
+import time
 
 import numpy as np
 import public_tokenizers
@@ -48,28 +50,97 @@ def test_secret_rules_match_brute_force(documents):
     assert len(got) == len(texts)
 
 
-def test_network_adds_spans_and_keeps_base(spark):
+def planted_secrets(draw):
+    """Secrets as vendors and people write them, none of which a base rule meets: (text, start, end)."""
+    letters = string.ascii_letters + string.digits
+
+    def some(n, of=letters):
+        while True:
+            own = "".join(draw.choice(of) for _ in range(n))
+            if any(c.isdigit() for c in own) and any(c.isalpha() for c in own):
+                return own
+
+    def grouped(n):
+        return "-".join(some(n, "0123456789abcdef") for n in (8, 4, 4, 4, 12))
+
+    forms = [
+        ("deploy with ghp_{} now", lambda: some(36)),
+        ("sk-{}", lambda: some(40)),
+        ("Authorization: Bearer {}\n", lambda: some(32, letters + "+/")),
+        ("the aws key is {}, keep it", lambda: some(40, letters + "/+")),
+        ("pwd: {} for the box", lambda: some(20)),
+        ("id {} of the client", lambda: grouped(0)),
+        ("DEVICE {} is known", lambda: some(32, "0123456789ABCDEF")),
+        ("jwt eyJ{}", lambda: f"{some(20)}.{some(40)}.{some(30)}"),
+        ("x-auth: {}", lambda: some(24)),
+    ]
+    out = []
+    for _ in range(20):
+        for form, make in forms:
+            value = make()
+            start = form.index("{}")
+            out.append((f"{PROSE} {form.format(value)} {PROSE}", len(PROSE) + 1 + start, len(PROSE) + 1 + start + len(value)))
+    return out
+
+
+PROSE = "and then the matter of the report was put off until spring."
+CLEAN = """see report-2024-final.pdf|in src/main/utils2.py|version v1.12.3-rc1 is out|user_name_42 wrote|on 2024-05-12T10.30 we met
+section-3.2.1 says|www.site24.org/path/page7.html|covid19-cases rose|the iphone15-pro-max costs|10th-anniversary-2019 edition
+write to joe.smith42@mail3.example.com|chapter12-section4.html|img_20240512_0001.jpg|route66-road-trip|windows11-upgrade-guide
+http://blog.example.com/2019/04/spring-news|model-t-1908-history|apollo11-landing-site|mp3-player-reviews|4x4-offroad-tires""".replace("\n", "|").split("|")
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet").select("doc_id", "text")
+    return secrets.train_secrets(docs.filter("doc_id % 2 = 0"))
+
+
+def test_network_finds_what_rules_miss(documents, network):
+    """At the fitted threshold, on forms of which most are none that it was trained on."""
+    planted = planted_secrets(random.Random(6))
+    assert not any(brute_secrets(text) for text, _, _ in planted)
+    frame = documents(*((k, text) for k, (text, _, _) in enumerate(planted)))
+    rows = frame.select("doc_id", secrets.secret_spans(frame.text, network).alias("found")).collect()
+    caught = 0
+    for r in rows:
+        _, start, end = planted[r.doc_id]
+        caught += any(s.kind == "cnn" and s.start < end and start < s.end for s in r.found)
+        assert all(s.start < end and start < s.end for s in r.found)
+    assert caught / len(planted) >= 0.9
+
+
+def test_network_leaves_plain_candidates_alone(documents, network):
+    frame = documents(*((k, f"{PROSE} {text} {PROSE}") for k, text in enumerate(CLEAN)))
+    rows = frame.select("text", secrets.secret_spans(frame.text, network).alias("found")).collect()
+    flagged = [r.text for r in rows if r.found]
+    assert len(flagged) / len(CLEAN) <= 0.1, flagged
+
+
+def test_network_keeps_base_spans_and_clean_documents(spark, network):
     docs = spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet").select("doc_id", "text")
-    network = secrets.train_secrets(docs.filter("doc_id % 2 = 0"))
-    assert network is not None and 0.5 <= network.threshold <= 1
     marks = docs.filter("doc_id % 2 = 1").select("text", secrets.secret_spans(docs.text, network).alias("found")).collect()
-    seen = caught = 0
     for r in marks:
-        base = [(s.kind, s.start, s.end) for s in r.found if s.kind != "cnn"]
-        assert base == brute_secrets(r.text)
-    windows, labels = [], []
-    from clickloom.llm.textbytes import slices
-    import pyarrow as pa
-
-    for part in slices(pa.array([r.text for r in marks])):
-        for spans, candidates, text in secrets.found(part):
-            for c in candidates:
-                windows.append(secrets.encoded(text, *c)[0])
-                labels.append(secrets._meets(c, spans))
-    flagged = network.probability(np.array(windows)) >= network.threshold
-    seen, caught = sum(labels), int(flagged[np.array(labels)].sum())
-    assert seen > 50 and caught / seen >= 0.9  # held-out recall
-    assert flagged[~np.array(labels)].mean() <= 0.05
+        assert [(s.kind, s.start, s.end) for s in r.found if s.kind != "cnn"] == brute_secrets(r.text)
+    assert sum(s.kind == "cnn" for r in marks for s in r.found) <= 5
+
+
+def test_many_spans_in_one_text(documents, network):
+    """Time follows their number."""
+    line = 'token = "9c8b45435718dcc700c184a7e303cdc6" mail3.example.com12 '
+    frame = documents((1, line * 16_000))
+    start = time.perf_counter()
+    (row,) = frame.select(secrets.secret_spans(frame.text, network).alias("found")).collect()
+    assert sum(s.kind == "assign" for s in row.found) == 16_000 and time.perf_counter() - start < 30
+
+
+def test_spans_meet():
+    draw = random.Random(8)
+    for _ in range(300):
+        spans = sorted((a, a + draw.randrange(1, 9)) for a in (draw.randrange(60) for _ in range(draw.randrange(8))))
+        own = draw.randrange(60)
+        own = own, own + draw.randrange(1, 6)
+        assert secrets.Union(spans).meets(*own) == any(own[0] < e and s < own[1] for s, e in spans)
 
 
 def test_gradients_of_the_network():
@@ -103,17 +174,18 @@ def test_calibration_keeps_the_recall():
     assert abs(p.mean() - labels.mean()) < 0.02
 
 
-def test_fit_keeps_the_recall_where_the_network_is_unsure():
-    draw = np.random.default_rng(3)
-    labels = np.repeat([0, 1], 200)
-    windows = draw.integers(1, secrets.SYMBOLS, (400, 2 * secrets.CONTEXT + secrets.BODY))
-    windows[labels == 1, secrets.CONTEXT - 3 : secrets.CONTEXT] = 7  # only the context tells
-    network = secrets.fit(windows, labels)
-    held = np.arange(400) % secrets.HELD_OUT == 0
-    own = windows[held & (labels == 1)]
-    elsewhere = secrets.swapped_context(windows[held], labels[held], 12)
-    for shown in (own, elsewhere):
-        assert (network.probability(shown) >= network.threshold).mean() >= secrets.RECALL
+def test_threshold_keeps_the_recall_on_values_held_out(documents):
+    """Of findings that are not in the sample, in forms that no base rule meets, all windows counted."""
+    draw = random.Random(3)
+
+    def some(n):
+        return [secrets.Finding("".join(draw.choice("0123456789abcdef") for _ in range(draw.choice([24, 40, 120]))), "the value is ", " and more words") for _ in range(n)]
+
+    network = secrets.fit(some(300), [])
+    windows = secrets._windows_of(secrets.shown(some(200), [], 5))
+    logits = secrets._highest(network.weights, windows)
+    reached = secrets._sigmoid(network.scale * logits + network.shift) >= network.threshold
+    assert reached.mean() >= secrets.RECALL - 0.03
 
 
 def test_no_findings(documents):
