@@ -129,6 +129,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_counts_of("spans", SECRET_KINDS),
         F.sha2(_spans_text(_base_of("spans", SECRET_KINDS)), 256).alias("base_sha256"),
         _spans_text("spans").alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 
@@ -139,6 +140,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_counts_of("spans", PERSONAL_KINDS),
         F.sha2(_spans_text(_base_of("spans", PERSONAL_KINDS)), 256).alias("base_sha256"),
         _spans_text("spans").alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
 
 

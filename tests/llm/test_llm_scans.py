@@ -6,6 +6,7 @@ import time
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_llm_texts import ODD_TEXTS
 from tokenizers import Tokenizer
 
@@ -254,20 +255,77 @@ def test_personal_rules_match_brute_force(documents):
         assert [(s.start, s.rank, s.end, s.kind) for s in r.found] == brute_personal(r.text)
 
 
-def test_trees_add_likely_spans(spark):
+PLANTED = [
+    "(269) 555-3296", "(301) 555-8120", "0176 5551234", "0301 5550099", "269.555.3296", "715.555.0142", "269-555-3296", "404-555-0101",
+    "212 555 0187", "joe (at) mail.example", "ann.lee[at]corp.example.org", "info [at] shop.example.net", "m_brown(at)uni.example.edu",
+    "123-45-6789", "987-65-4320", "4539.1488.0343.6467", "4485  2757  4230  8327", "192[.]168[.]7[.]12", "10[.]0[.]140[.]9", "0014155550123",
+]
+ORDINARY = [
+    "2024-05-12", "12.05.2024", "1999/12/31", "2021-03-04 17", "1990-1995", "1,299,000", "12,500", "version 4.0.1", "2.17.4821.3", "3.5 percent",
+    "room 1204", "4539148803436468", "5927243074273351", "7931824386410944", "in 1984", "a ratio of 16:9", "1066 and 1492", "9x12 inches", "24/7", "100000",
+]
+
+
+@pytest.fixture(scope="module")
+def trees(spark):
     docs = spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet").select("doc_id", "text")
-    model = personal_data.train_personal_data(docs)
-    assert model is not None
-    probe = spark.createDataFrame(
-        [(1, "Call me at (269) 555-3296 or write to joe.doe.22 (at) mail7.example now. Version 4.0. of it"), (2, None)], "doc_id int, text string"
-    )
-    low = personal_data.Boosted(model.trees, model.weights, 0.0)
-    found = {r.doc_id: r.spans for r in personal_data.personal_spans(probe, low).select("row.doc_id", "spans").collect()}
-    assert found[2] == [] and {s.kind for s in found[1]} == {personal_data.LIKELY}
-    for a in found[1]:
-        assert sum(a.start < b.end and b.start < a.end for b in found[1]) == 1  # of overlapping spans the best
-    for r in personal_data.personal_spans(docs.limit(500), model).select("row.text", "spans").collect():
+    return personal_data.train_personal_data(docs.filter("doc_id % 2 = 0"))
+
+
+def found_in(spark, trees, values):
+    """What is found in a text about each value: its start, end and spans."""
+    texts = [f"and the rest of it was as follows, {v} and so on to the end" for v in values]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = personal_data.personal_spans(frame, trees).select("row.doc_id", "row.text", "spans").collect()
+    return {values[r.doc_id]: (r.text.index(values[r.doc_id]), r.spans) for r in rows}
+
+
+def test_trees_find_what_rules_miss(spark, trees):
+    """At the fitted threshold, in forms that no base rule meets."""
+    caught = 0
+    for value, (start, spans) in found_in(spark, trees, PLANTED).items():
+        assert all(s.kind == personal_data.LIKELY for s in spans)
+        covered = sum(max(0, min(s.end, start + len(value)) - max(s.start, start)) for s in spans)
+        caught += covered >= 0.6 * len(value)
+    assert caught >= 0.9 * len(PLANTED)
+
+
+def test_trees_leave_ordinary_numbers_alone(spark, trees):
+    flagged = [value for value, (_, spans) in found_in(spark, trees, ORDINARY).items() if spans]
+    assert len(flagged) <= 0.1 * len(ORDINARY), flagged
+
+
+def test_trees_keep_base_spans_and_clean_documents(spark, trees):
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.1/documents.parquet").select("doc_id", "text")
+    marks = personal_data.personal_spans(docs.filter("doc_id % 8 = 1"), trees).select("row.text", "spans").collect()
+    for r in marks:
         assert [(s.start, s.rank, s.end, s.kind) for s in r.spans if s.kind != personal_data.LIKELY] == brute_personal(r.text)
+        for a in r.spans:
+            assert a.kind != personal_data.LIKELY or sum(a.start < b.end and b.start < a.end for b in r.spans) == 1
+    assert sum(s.kind == personal_data.LIKELY for r in marks for s in r.spans) <= 0.02 * len(marks)
+
+
+def test_long_candidates_are_whole(spark, trees):
+    mail = "x" * 90 + " (at) " + "mail." * 40 + "example"
+    (_, spans), = found_in(spark, personal_data.Boosted(trees.trees, trees.weights, 0.0), [mail]).values()
+    assert any(s.end - s.start == len(mail) for s in spans)
+
+
+def test_many_added_spans_in_one_text(spark, trees):
+    everything = personal_data.Boosted(trees.trees, trees.weights, 0.0)
+    text = "call (269) 555-3296 or 2024-05-12 now, " * 4_000
+    frame = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    start = time.perf_counter()
+    (row,) = personal_data.personal_spans(frame, everything).select(F.size("spans").alias("n")).collect()
+    assert row.n >= 8_000 and time.perf_counter() - start < 60
+
+
+def test_chains_are_settled_like_the_whole(spark):
+    draw = random.Random(4)
+    rows = [[(a, 4, a + draw.randrange(1, 9), "likely", draw.randrange(6) / 5) for a in (draw.randrange(80) for _ in range(n))] for n in range(0, 60, 3)]
+    frame = spark.createDataFrame([(r,) for r in rows], f"spans {personal_data.SPANS}")
+    for r in frame.select("spans", personal_data._apart(F.col("spans")).alias("kept"), personal_data._best_first(F.col("spans")).alias("whole")).collect():
+        assert sorted(r.kept) == sorted(r.whole)
 
 
 def test_written_trees_score_as_the_model_does(spark):
@@ -286,17 +344,19 @@ def test_written_trees_score_as_the_model_does(spark):
 
 
 def test_threshold_of():
-    scored = [(0.9, 1), (0.8, 1), (0.8, 0), (0.7, 1), (0.6, 1), (0.1, 0)]
-    assert personal_data.threshold_of(scored, 0.8) == 0.6
-    assert personal_data.threshold_of(scored, 1.0) == 0.9
-    assert personal_data.threshold_of([(0.5, 0)], 0.9) > 1
+    scored = [(0.9, 1), (0.8, 1), (0.7, 1), (0.6, 1), (0.5, 0), (0.1, 0)]
+    assert personal_data.threshold_of(scored, 0.5) == pytest.approx(0.5) and personal_data.threshold_of(scored, 0.5) > 0.5
+    assert personal_data.threshold_of([(0.65, 0), *scored], 1.0) == 0.6
+    assert personal_data.threshold_of([(0.65, 0), *scored], 0.75) == pytest.approx(0.65)
+    assert personal_data.threshold_of([(0.95, 0), *scored], 0.75) == 0.7
+    assert personal_data.threshold_of([(0.5, 0)], 0.9) <= 1.1
 
 
 def test_chain_of_overlapping_spans(documents, monkeypatch):
     """A beats B and B beats C; A and C don't meet, so both stay."""
     from pyspark.sql import functions as F
 
-    one = lambda start, end, k: F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.array(F.lit(k)).alias("features"))
+    one = lambda start, end, k: F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.array(F.lit(k)).alias("features"), F.lit(False).alias("other"))
     proposed = F.array(one(8, 14, 1.0), one(4, 10, 2.0), one(0, 6, 3.0), one(0, 6, 3.0))
     monkeypatch.setattr(personal_data, "candidates", lambda text: proposed)
     model = personal_data.Boosted([[0, 1.5, 0.1, [0, 2.5, 0.2, 0.3]]], [1.0], 0.0)
