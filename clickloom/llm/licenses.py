@@ -7,19 +7,28 @@ punctuation and line breaks don't count) and accepts from every place where all
 words follow one another exactly. All templates run together: states are shared by their
 first word, so a text is only walked from places where some template may begin.
 
+Templates are whole licenses (``wordings``) and the notices by which texts refer to licenses.
+A license whose terms were changed anywhere isn't accepted, as its mandatory words don't
+follow. Where acceptances overlap, the longest counts, so that a license with another's name
+in its own isn't taken for both. A notice behind a negation (``NEGATIONS``, up to ``REACH``
+words before it) doesn't count.
+
 Besides, base phrases label a text wherever their words stand consecutively.
 
-The score is the share of a text's words that phrases or templates cover, or 1 if a template
-accepts a full license text of at least ``FULL`` words.
+The score is the share of a text's words that phrases or templates cover, or 1 if a whole
+license is accepted.
 
-Defined cases: a null or empty text has no words, no labels and a score of 0; rows with equal
-ids are scanned each on its own; other columns stay, whatever their names.
+Defined cases: a null or empty text has no words, no labels and a score of 0; a very long text
+is read once, however long; rows with equal ids are scanned each on its own; other columns stay,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,35 +40,70 @@ from clickloom.llm.textbytes import ALNUM_WORD, LOWER, Words, slices, text_udf
 #: Phrases and the labels they give.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Wording of public licenses and of the notices by which texts refer to them.
+_GPL_NOTICE = (
+    "this program is free software [[:]] you can redistribute it and or modify it under the terms of the gnu {0}general public"
+    " license as published by the free software foundation either version {1} of the license or at your option any later version"
+    " this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty"
+    " of merchantability or fitness for a particular purpose see the gnu {0}general public license for more details"
+)
+
+
+def _gnu(name: str, version: str) -> list[str]:
+    by = "[[as published by the free software foundation either]] [[,]]"
+    return [
+        f"[[gnu]] {name}general public license {by} version {version}",
+        f"[[gnu]] {name}general public license v{version}",
+        _GPL_NOTICE.format(name, version),
+    ]
+
+
+#: Notices by which texts refer to licenses.
 TEMPLATES = {
+    "agpl-3.0": [*_gnu("affero ", "3"), "[[gnu]] agpl [[version]] 3", "[[gnu]] agplv3"],
     "apache-2.0": [
         "licensed under the apache license [[version]] 2.0",
         "licensed under the apache license version 2.0 [[the license]] you may not use this file except in"
         " compliance with the license you may obtain a copy of the license at {{1:8}} unless required by"
         " applicable law or agreed to in writing software distributed under the license is distributed on an"
-        " as is basis without warranties or conditions of any kind either express or implied",
-    ],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided"
-        " that the following conditions are met",
-        "[[released]] under the {{0:2}} bsd license",
+        " as is basis without warranties or conditions of any kind either express or implied"
+        " [[see the license for the specific language governing permissions and limitations under the license]]",
+        "spdx license identifier apache 2.0",
     ],
+    "bsd": ["[[released]] under the {{0:2}} bsd license"],
+    "bsd-2-clause": ["spdx license identifier bsd 2 clause"],
+    "bsd-3-clause": ["spdx license identifier bsd 3 clause"],
     "cc-by-4.0": ["licensed under [[a]] [[creative commons attribution]] cc by 4.0 [[international]] [[license]]"],
     "cc-by-nc-4.0": ["licensed under [[a]] [[creative commons]] cc by nc 4.0 [[international]] [[license]]"],
     "cc-by-sa-4.0": ["licensed under [[a]] [[creative commons]] cc by sa 4.0 [[international]] [[license]]"],
+    "cc0-1.0": [
+        "to the extent possible under law {{1:12}} waived all copyright and related or neighboring rights to",
+        "[[licensed under]] [[the]] [[creative commons]] cc0 1.0 universal",
+        "spdx license identifier cc0 1.0",
+    ],
     "copyright": ["copyright [[c]] {{0:6}} all rights reserved"],
-    "gpl-2.0": ["[[gnu]] general public license [[as published by the free software foundation either]] version 2"],
-    "gpl-3.0": ["[[gnu]] general public license [[as published by the free software foundation either]] version 3"],
-    "mit": [
-        "[[released under]] [[licensed under]] the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
-        " documentation files the software to deal in the software without restriction including without limitation"
-        " the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to"
-        " permit persons to whom the software is furnished to do so subject to the following conditions",
+    "gpl-2.0": [*_gnu("", "2"), "[[gnu]] gplv2"],
+    "gpl-3.0": [*_gnu("", "3"), "[[gnu]] gplv3"],
+    "isc": ["[[released under]] [[licensed under]] the isc license", "spdx license identifier isc"],
+    "lgpl-2.1": [*_gnu("lesser ", "2.1"), "[[gnu]] lgpl [[version]] 2.1"],
+    "lgpl-3.0": [*_gnu("lesser ", "3"), "[[gnu]] lgplv3"],
+    "mit": ["[[released under]] [[licensed under]] the mit license", "spdx license identifier mit"],
+    "mpl-2.0": [
+        "subject to the terms of the mozilla public license [[,]] v 2.0 [[if a copy of the mpl was not distributed with this file"
+        " you can obtain one at]] [[http mozilla org mpl 2 0]] [[https mozilla org mpl 2 0]]",
+        "[[licensed under]] the mozilla public license [[version]] 2.0",
+        "spdx license identifier mpl 2.0",
     ],
 }
-FULL = 40
+#: Words that turn a notice behind them around.
+NEGATIONS = frozenset("not never no isn aren wasn weren neither nor without cannot longer".split())
+REACH = 3
+
+
+@lru_cache(maxsize=1)
+def whole_licenses() -> dict[str, list[str]]:
+    """Templates of complete licenses, by label."""
+    return {file.stem: [file.read_text(encoding="utf-8")] for file in sorted((Path(__file__).parent / "wordings").glob("*.txt"))}
+
 
 SCANNED = (
     "struct<n_words: bigint, phrases: array<string>, phrase_at: array<int>, labels: array<string>, covered: bigint,"
@@ -77,7 +121,7 @@ _SCANNED = pa.struct(
 )
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_MARK = re.compile(r"\[\[(?P<optional>.*?)\]\]|\{\{(?P<least>\d+):(?P<most>\d+)\}\}")
+_MARK = re.compile(r"\[\[(?P<optional>.*?)\]\]|\{\{(?P<least>\d+):(?P<most>\d+)\}\}", re.S)
 
 
 class Automaton:
@@ -86,7 +130,7 @@ class Automaton:
     def __init__(self, template: str):
         self.moves: list[list[tuple[str | None, int]]] = [[]]
         self.skips: list[list[int]] = [[]]
-        self.mandatory = 0
+        self.mandatory: set[str] = set()
         at = done = 0
         for mark in _MARK.finditer(template):
             at = self._words(at, template[done : mark.start()])
@@ -114,7 +158,8 @@ class Automaton:
     def _words(self, at: int, text: str, mandatory: bool = True) -> int:
         for word in _WORD.findall(text.lower()):
             at = self._add(at, word)
-            self.mandatory += mandatory
+            if mandatory:
+                self.mandatory.add(word)
         return at
 
     def _closed(self, states: list[int]) -> set[int]:
@@ -142,34 +187,23 @@ class Automaton:
 
 
 class Scanner:
-    def __init__(self, phrases: dict[str, str], templates: dict[str, list[str]]):
+    def __init__(self, phrases: dict[str, str], templates: dict[str, list[str]], whole: dict[str, list[str]]):
         self.phrases = [(p.split(), label) for p, label in phrases.items()]
-        self.automata = [(label, Automaton(t)) for label, ts in templates.items() for t in ts]
-        self.by_first: dict[str, list[tuple[str, Automaton]]] = {}
-        for label, automaton in self.automata:
+        self.automata = [(label, Automaton(t), full) for full, all_of in ((False, templates), (True, whole)) for label, ts in all_of.items() for t in ts]
+        self.by_first: dict[str, list[tuple[str, Automaton, bool]]] = {}
+        for label, automaton, full in self.automata:
             for word in automaton.first_words():
                 if word is None:
                     raise ValueError(f"a template of {label} begins with any word")
-                self.by_first.setdefault(word, []).append((label, automaton))
+                self.by_first.setdefault(word, []).append((label, automaton, full))
         self.starts = set(self.by_first) | {p[0] for p, _ in self.phrases}
-        self.rare = self._rare_words()
-
-    def _rare_words(self) -> list[bytes]:
-        """Words of which a text must hold one to match anything: the longest that each pattern cannot do without."""
-        needed = {max(p, key=len) for p, _ in self.phrases}
-        for _, automaton in self.automata:
-            needed.add(max(self._always(automaton), key=lambda w: (len(w), w)))
-        return sorted(w.encode() for w in needed)
-
-    @staticmethod
-    def _always(automaton: Automaton) -> set[str]:
-        words = {w for moves in automaton.moves for w, _ in moves if w is not None}
-        return {w for w in words if not _passes_without(automaton, w)}
+        #: Words of which a text must hold one to match anything: the longest that each pattern cannot do without.
+        needed = [set(p) for p, _ in self.phrases] + [a.mandatory for _, a, _ in self.automata]
+        self.rare = sorted({max(words, key=lambda w: (len(w), w)).encode() for words in needed})
 
     def scan(self, words: list[str]) -> dict:
-        phrases, places, labels = [], [], set()
+        phrases, places, accepted = [], [], []
         cover = np.zeros(len(words), bool)
-        full = False
         for at, word in enumerate(words):
             if word not in self.starts:
                 continue
@@ -178,38 +212,39 @@ class Scanner:
                     phrases.append(label)
                     places.append(at)
                     cover[at : at + len(phrase)] = True
-            for label, automaton in self.by_first.get(word, ()):
+            for label, automaton, full in self.by_first.get(word, ()):
                 end = automaton.accept(words, at)
-                if end > 0:
-                    labels.add(label)
-                    cover[at:end] = True
-                    full = full or automaton.mandatory >= FULL
+                if end > 0 and (full or not NEGATIONS.intersection(words[max(0, at - REACH) : at])):
+                    accepted.append((at - end, at, end, label, full))
+        kept = _longest(accepted, len(words))
+        for _, at, end, _, _ in kept:
+            cover[at:end] = True
         covered = int(cover.sum())
-        score = 1.0 if full else covered / max(len(words), 1)
         return {
             "n_words": len(words),
             "phrases": phrases,
             "phrase_at": places,
-            "labels": sorted(labels),
+            "labels": sorted({label for *_, label, _ in kept}),
             "covered": covered,
-            "score": score,
+            "score": 1.0 if any(full for *_, full in kept) else covered / max(len(words), 1),
         }
 
 
-def _passes_without(automaton: Automaton, banned: str) -> bool:
-    seen, todo = set(), [0]
-    while todo:
-        s = todo.pop()
-        if s in seen:
-            continue
-        seen.add(s)
-        todo += automaton.skips[s] + [n for w, n in automaton.moves[s] if w != banned]
-    return automaton.last in seen
+def _longest(accepted: list[tuple], size: int) -> list[tuple]:
+    """The longest acceptances, none of which meets a longer one; of equal ones over the same words all."""
+    taken = np.zeros(size + 1, bool)
+    kept: list[tuple] = []
+    for own in sorted(accepted):
+        _, at, end, _, _ = own
+        if not taken[at:end].any() or (kept and kept[-1][1:3] == (at, end)):
+            kept.append(own)
+            taken[at:end] = True
+    return kept
 
 
-def _scanned(phrases: dict[str, str], templates: dict[str, list[str]]) -> Callable:
+def _scanned(phrases: dict[str, str], templates: dict[str, list[str]], whole: dict[str, list[str]]) -> Callable:
     def make():
-        scanner = Scanner(phrases, templates)
+        scanner = Scanner(phrases, templates, whole)
 
         def scanned(texts: pa.Array) -> pa.Array:
             out = []
@@ -229,9 +264,14 @@ def _scanned(phrases: dict[str, str], templates: dict[str, list[str]]) -> Callab
     return make
 
 
-def scanned(text: Column, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES) -> Column:
-    """What phrases and templates find in each text, as a column ``SCANNED``."""
-    return text_udf(_scanned(phrases, templates), SCANNED)(text)
+def scanned(
+    text: Column,
+    phrases: dict[str, str] = PHRASES,
+    templates: dict[str, list[str]] = TEMPLATES,
+    whole: dict[str, list[str]] | None = None,
+) -> Column:
+    """What phrases and templates of notices and of whole licenses find in each text, as a column ``SCANNED``."""
+    return text_udf(_scanned(phrases, templates, whole_licenses() if whole is None else whole), SCANNED)(text)
 
 
 def license_scan(
@@ -240,7 +280,8 @@ def license_scan(
     text: str = "text",
     phrases: dict[str, str] = PHRASES,
     templates: dict[str, list[str]] = TEMPLATES,
+    whole: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """One row per document: its id and all of ``SCANNED``."""
     own = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return own.select("doc_id", scanned(F.col("text"), phrases, templates).alias("s")).select("doc_id", "s.*")
+    return own.select("doc_id", scanned(F.col("text"), phrases, templates, whole).alias("s")).select("doc_id", "s.*")

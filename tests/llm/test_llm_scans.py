@@ -484,10 +484,93 @@ def test_automata_match_patterns_over_words():
             assert automaton.accept(words, 0) == (max(ends) if ends else -1)
 
 
+def plainly(template, name="the copyright holders"):
+    """A text that a template accepts: optional parts left in, names filled in."""
+    text = re.sub(r"\[\[(.*?)\]\]", r"\1", template, flags=re.S)
+    return re.sub(r"\{\{(\d+):(\d+)\}\}", lambda m: " ".join(name.split()[: int(m[2])]), text)
+
+
+def without_optional(template):
+    return plainly(re.sub(r"\[\[.*?\]\]", "", template, flags=re.S), "Somebody")
+
+
+@pytest.fixture(scope="module")
+def scanner():
+    return licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES, licenses.whole_licenses())
+
+
+def scan(scanner, text):
+    found = scanner.scan(licenses._WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+    return found["labels"], found["score"]
+
+
+def test_whole_licenses(scanner):
+    whole = licenses.whole_licenses()
+    assert {"apache-2.0", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "cc0-1.0", "isc", "mit", "mpl-2.0", "unlicense", "zlib"} == set(whole)
+    for label, (template,) in whole.items():
+        for text in (plainly(template), without_optional(template), template_in_lines(plainly(template))):
+            labels, score = scan(scanner, "Copyright 2024 by somebody\n\n" + text)
+            assert label in labels and score == 1.0, label
+            assert not {"bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "mit", "isc"} & set(labels) - {label}
+
+
+def template_in_lines(text):
+    """As in a comment block: stars before lines, other quotes and cases."""
+    return "\n".join(f" * {line.upper()}" for line in text.replace(chr(34), "'").splitlines())
+
+
+def test_changed_terms_are_no_license(scanner):
+    """A word swapped, left out or put in, anywhere in the mandatory wording."""
+    draw = random.Random(5)
+    for label, (template,) in licenses.whole_licenses().items():
+        text = without_optional(template).split()
+        for _ in range(4):
+            at = draw.randrange(5, len(text) - 1)
+            while not re.search("[A-Za-z]", text[at]) or "Somebody" in text[at - 1 : at + 2] or "conditions" in text[at]:
+                at = draw.randrange(5, len(text) - 1)
+            for changed in ([*text[:at], "mangle", *text[at + 1 :]], text[:at] + text[at + 1 :], [*text[:at], "mangle", *text[at:]]):
+                labels, score = scan(scanner, " ".join(changed))
+                assert label not in labels and score < 1.0, (label, at, text[at])
+
+
+def test_names_of_licenses_in_other_names(scanner):
+    assert scan(scanner, "under the GNU Affero General Public License as published by the Free Software Foundation, either version 3")[0] == ["agpl-3.0"]
+    assert scan(scanner, "the GNU Lesser General Public License, version 2.1 or later")[0] == ["lgpl-2.1"]
+    assert scan(scanner, "the GNU General Public License, version 2 or later")[0] == ["gpl-2.0"]
+    for label, name, version in (("gpl-3.0", "", "3"), ("lgpl-3.0", "lesser ", "3"), ("agpl-3.0", "affero ", "3"), ("gpl-2.0", "", "2"), ("lgpl-2.1", "lesser ", "2.1")):
+        assert scan(scanner, plainly(licenses._GPL_NOTICE).format(name, version))[0] == [label]
+
+
+def test_near_misses_of_licenses(scanner):
+    mit = plainly(licenses.whole_licenses()["mit"][0])
+    opening = mit[: mit.index("The above copyright")]
+    json = mit.replace("THE SOFTWARE IS PROVIDED", "The Software shall be used for Good, not Evil. THE SOFTWARE IS PROVIDED")
+    assert scan(scanner, opening)[0] == scan(scanner, json)[0] == scan(scanner, opening + " a yearly fee is paid.")[0] == []
+    for text in ("This is not licensed under the Apache License 2.0", "It isn't licensed under the Apache License, Version 2.0", "was never released under the MIT license"):
+        assert scan(scanner, text) == ([], 0.0)
+    assert scan(scanner, "Licensed under the Apache License 2.0")[0] == ["apache-2.0"]
+
+
+def test_notices(scanner):
+    mozilla = (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not"
+        " distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    )
+    for text, label in (
+        (mozilla, "mpl-2.0"),
+        ("// SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+        ("To the extent possible under law, Jo Doe has waived all copyright and related or neighboring rights to this work", "cc0-1.0"),
+        ("Released under the MIT License", "mit"),
+        ("released under the modified BSD license", "bsd"),
+    ):
+        labels, score = scan(scanner, text)
+        assert labels == [label] and 0.5 < score <= 1.0
+
+
 def test_full_texts_score_one(documents):
-    mit = licenses.TEMPLATES["mit"][1].upper().replace("SOFTWARE", "Software,")
-    rows = licenses.license_scan(documents((1, "filler words " * 500 + mit), (2, mit.replace("MERGE", "mangle")))).collect()
-    assert {r.doc_id: (r.score, r.labels) for r in rows} == {1: (1.0, ["mit"]), 2: (0.0, [])}
+    mit = plainly(licenses.whole_licenses()["mit"][0]).upper()
+    rows = licenses.license_scan(documents((1, "filler words " * 500 + mit), (2, mit.replace("MERGE", "mangle")), (3, None))).collect()
+    assert {r.doc_id: (r.score, r.labels) for r in rows} == {1: (1.0, ["mit"]), 2: (0.0, []), 3: (0.0, [])}
 
 
 def test_odd_texts(documents):
