@@ -7,14 +7,19 @@ it may not move, the block's bucket selects test strings, those with another fir
 are put aside, and what remains is compared byte by byte. Strings of each length have
 tables of their own, so one short item doesn't shorten everyone's steps.
 
-Documents are never shuffled: one pass reads them, and each search is a column function.
-Test strings reach the tasks in blocks of at most ``block_strings``; with k blocks the same
-pass runs k searches one after the other, each adding to what the others found.
-
-Defined cases: a null or empty text has no words and no hits; rows with equal ids are
-searched each on its own; an empty benchmark contaminates nothing; null items are ignored;
-an item id that occurs on several rows is one item. Ids may be of any type and are
-compared as strings. Other columns stay as they are, whatever their names.
+Documents' texts are never shuffled. Test strings are written below the shared folder, in
+numbered blocks of about ``block_strings``, and the items that hold a string beside them. The
+driver and a task hold one block at a time, whatever the size of the benchmark: a pass over
+the documents searches one block, and writes for each document what it found, as numbers of
+strings. With more than one block the documents are written first, with a number for each
+row, and each block has a pass of its own. Which items it was is then a join of the strings
+found, that is of contaminated documents alone.
+
+Defined cases: a null or empty text has no words and no hits, and a very long one is searched
+whole; rows with equal ids are searched each on its own; an empty benchmark contaminates
+nothing; a null item text has no strings; an item id that occurs on several rows is one item.
+Items with a null id are searched and together are one item without a name. Ids may be of any
+type and are compared as strings. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.textbytes import ALNUM_WORD, Words, lists_of, mixed, slices, text_udf
+from clickloom.session import scratch_path
 
 WIDTH = 10
 BLOCK_STRINGS = 100_000
@@ -34,8 +40,8 @@ TABLE_BITS = 18
 #: Words of a text that one lane of the search walks over.
 LANE = 64
 
-FOUND = "struct<n_words: bigint, hits: array<int>, items: array<string>>"
-_FOUND = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+FOUND = "struct<n_words: bigint, hits: array<int>, strings: array<int>>"
+_FOUND = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.int32())), ("strings", pa.list_(pa.int32()))])
 
 
 def _windows_of(width: int):
@@ -57,15 +63,35 @@ def _windows_of(width: int):
 
 
 def test_strings(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Each test string once, with the ids of the items that hold it: ``string, item_ids``."""
+    """``string, item``: each test string with each item that holds it."""
     split = text_udf(_windows_of(width), "array<string>")
-    return (
-        items.select(F.col(item_id).cast("string").alias("item"), split(F.col(text)).alias("strings"))
-        .filter("item IS NOT NULL")
-        .select("item", F.explode("strings").alias("string"))
-        .groupBy("string")
-        .agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-    )
+    rows = items.select(F.col(item_id).cast("string").alias("item"), split(F.col(text)).alias("strings"))
+    return rows.select(F.explode("strings").alias("string"), "item").distinct()
+
+
+class Benchmark:
+    """Test strings below the shared folder: ``block, nth, string``, and the items of each, ``block, nth, item``."""
+
+    def __init__(self, items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = WIDTH, block_strings: int = BLOCK_STRINGS):
+        self.spark = spark = items.sparkSession
+        folder = scratch_path(spark, "benchmark")
+        test_strings(items, item_id, text, width).write.parquet(f"{folder}/pairs")
+        pairs = spark.read.parquet(f"{folder}/pairs")
+        distinct = pairs.select("string").distinct()
+        self.blocks = max(1, -(-distinct.count() // block_strings))
+        block = F.pmod(F.xxhash64("string"), F.lit(self.blocks)).cast("int")
+        nth = F.row_number().over(Window.partitionBy("block").orderBy("string")) - 1
+        distinct.withColumn("block", block).withColumn("nth", nth).write.parquet(f"{folder}/strings")
+        self.strings = spark.read.parquet(f"{folder}/strings")
+        self.members = pairs.join(self.strings, "string").select("block", "nth", "item")
+
+    def search(self, text: Column, block: int) -> Column:
+        """What a block's strings hit in each text, as a column ``FOUND``.
+
+        ``hits`` holds the start and end of each run of hit words, in order. The block is read when this is called.
+        """
+        rows = self.strings.filter(F.col("block") == block).orderBy("nth").collect()
+        return text_udf(_searcher([r["string"] for r in rows]), FOUND)(text)
 
 
 class Patterns:
@@ -139,7 +165,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _searcher(strings: list[str], items: list[list[str]]):
+def _searcher(strings: list[str]):
     def make():
         groups: dict[int, list[int]] = {}
         raw = [s.encode() for s in strings]
@@ -147,7 +173,7 @@ def _searcher(strings: list[str], items: list[list[str]]):
             groups.setdefault(s.count(b" ") + 1, []).append(i)
         tables = [Patterns([raw[i] for i in of], np.array(of)) for of in groups.values()]
 
-        def search(texts: pa.Array, before: pa.Array | None = None) -> pa.Array:
+        def search(texts: pa.Array) -> pa.Array:
             counts, hits, found = [], [], []
             for part in slices(texts):
                 words = Words(part, ALNUM_WORD, lower=True)
@@ -163,32 +189,18 @@ def _searcher(strings: list[str], items: list[list[str]]):
                 for text in range(len(part)):
                     spans, strings_in = own.get(text, ((), ()))
                     hits.append(_merged(spans))
-                    found.append(sorted({x for i in strings_in for x in items[i]}))
-            if before is not None:
-                for i, old in enumerate(before.to_pylist()):
-                    hits[i] = _merged(list(zip(hits[i][::2], hits[i][1::2])) + list(zip(old["hits"][::2], old["hits"][1::2])))
-                    found[i] = sorted({*found[i], *old["items"]})
-            return pa.array([{"n_words": n, "hits": h, "items": x} for n, h, x in zip(counts, hits, found)], _FOUND)
+                    found.append(sorted(strings_in))
+            columns = [pa.array(counts, pa.int64()), pa.array(hits, _FOUND[1].type), pa.array(found, _FOUND[2].type)]
+            return pa.StructArray.from_arrays(columns, names=["n_words", "hits", "strings"])
 
         return search
 
     return make
 
 
-def hits(text: Column, strings: DataFrame, block_strings: int = BLOCK_STRINGS) -> Column:
-    """What the test strings hit in each text, as a column ``FOUND``.
-
-    ``hits`` holds the start and end of each run of hit words, in order. The strings are
-    counted and read when this is called, ``block_strings`` at a time.
-    """
-    blocks = max(1, -(-strings.count() // block_strings))
-    part = F.pmod(F.xxhash64("string"), F.lit(blocks))
-    found: tuple[Column, ...] = ()
-    for k in range(blocks):
-        rows = sorted(strings.filter(part == k).collect())
-        search = text_udf(_searcher([r[0] for r in rows], [r[1] for r in rows]), FOUND)
-        found = (search(text, *found),)
-    return found[0]
+def _union(texts: pa.Array) -> pa.Array:
+    """Runs of several blocks, one list after another, as runs that don't meet."""
+    return pa.array([_merged(list(zip(x[::2], x[1::2]))) for x in texts.to_pylist()], pa.list_(pa.int32()))
 
 
 def contamination(
@@ -201,15 +213,52 @@ def contamination(
     width: int = WIDTH,
     block_strings: int = BLOCK_STRINGS,
 ) -> DataFrame:
-    """One row per document: its id, ``n_words``, the ``hits`` and the ``items`` found in it."""
-    strings = test_strings(benchmark, item_id, item_text, width)
-    found = hits(F.col("text"), strings, block_strings)
-    own = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return own.select("doc_id", found.alias("found")).select("doc_id", "found.*")
+    """One row per document: its id, ``n_words``, the ``hits``, the ``items`` found in it, and whether items without a name were."""
+    spark = documents.sparkSession
+    wanted = Benchmark(benchmark, item_id, item_text, width, block_strings)
+    folder = scratch_path(spark, "contamination")
+    own = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    if wanted.blocks > 1:
+        own.write.parquet(f"{folder}/documents")
+        own = spark.read.parquet(f"{folder}/documents")
+    for block in range(wanted.blocks):
+        found = own.select("row", "doc_id", F.lit(block).alias("block"), wanted.search(F.col("text"), block).alias("found"))
+        found.select("row", "doc_id", "block", "found.*").write.mode("append").parquet(f"{folder}/found")
+    found = spark.read.parquet(f"{folder}/found")
+    strings = found.select("row", "block", F.explode("strings").alias("nth")).join(wanted.members, ["block", "nth"])
+    items = strings.groupBy("row").agg(F.array_sort(F.collect_set("item")).alias("items"), F.bool_or(F.col("item").isNull()).alias("unnamed"))
+    if wanted.blocks > 1:
+        found = _gathered(found)
+    rows = found.select("row", "doc_id", "n_words", "hits").join(items, "row", "left")
+    none = F.array().cast("array<string>")
+    return rows.select("doc_id", "n_words", "hits", F.coalesce("items", none).alias("items"), F.coalesce("unnamed", F.lit(False)).alias("unnamed"))
+
+
+def _gathered(found: DataFrame) -> DataFrame:
+    """What all blocks hit in each row."""
+    lists = found.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits")
+    )
+    return lists.withColumn("hits", F.arrow_udf(_union, "array<int>")("hits"))
 
 
-def without_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+def without_contaminated(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    width: int = WIDTH,
+    block_strings: int = BLOCK_STRINGS,
+) -> DataFrame:
     """The documents, all their columns kept, in which no test string occurs."""
-    strings = test_strings(benchmark, width=options.pop("width", WIDTH))
-    found = hits(documents[text], strings, **options)
-    return documents.select(F.struct("*").alias("row"), found.alias("found")).filter(F.size("found.hits") == 0).select("row.*")
+    wanted = Benchmark(benchmark, item_id, item_text, width, block_strings)
+    rows = documents.select(F.struct("*").alias("row"), documents[text].alias("text"))
+    for block in range(wanted.blocks):
+        if block:  # what one block left is written before the next is read
+            path = scratch_path(wanted.spark, "clean")
+            rows.write.parquet(path)
+            rows = wanted.spark.read.parquet(path)
+        found = rows.select("row", "text", wanted.search(F.col("text"), block).alias("found"))
+        rows = found.filter(F.size("found.hits") == 0).select("row", "text")
+    return rows.select("row.*")

@@ -39,7 +39,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.size("items").cast("bigint").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )

@@ -16,21 +16,21 @@ def brute(text, items, width=10):
     doc, hit, found = words(text), set(), set()
     for item, content in items:
         own = words(content)
-        if not own or item is None:
+        if not own:
             continue
         size = min(width, len(own))
         windows = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
         for i in range(len(doc) - size + 1):
             if tuple(doc[i : i + size]) in windows:
                 hit.update(range(i, i + size))
-                found.add(str(item))
-    return len(doc), len(hit), sorted(found)
+                found.add(item)
+    return len(doc), len(hit), sorted(str(i) for i in found if i is not None), None in found
 
 
 def result(documents, benchmark, **options):
     rows = d.contamination(documents, benchmark, **options).collect()
     return sorted(
-        (r.doc_id, r.n_words, sum(r.hits[1::2]) - sum(r.hits[::2]), r["items"]) for r in rows
+        (r.doc_id, r.n_words, sum(r.hits[1::2]) - sum(r.hits[::2]), r["items"], r.unnamed) for r in rows
     )
 
 
@@ -51,22 +51,46 @@ def test_matches_brute_force(documents, benchmark_items, block_strings):
 
 def test_words_across_texts_do_not_join(documents, benchmark_items):
     got = result(documents((1, "a b c d e"), (2, "f g h i j")), benchmark_items((1, "a b c d e f g h i j")))
-    assert got == [(1, 5, 0, []), (2, 5, 0, [])]
+    assert got == [(1, 5, 0, [], False), (2, 5, 0, [], False)]
 
 
 def test_long_text(documents, benchmark_items):
     item = " ".join(f"w{k}" for k in range(12))
     text = "filler words here " * 60_000 + item
-    assert result(documents((1, text)), benchmark_items((5, item))) == [(1, 180_012, 12, ["5"])]
+    assert result(documents((1, text)), benchmark_items((5, item))) == [(1, 180_012, 12, ["5"], False)]
 
 
 def test_empty_tables(documents, benchmark_items):
     assert result(documents(), benchmark_items((1, "a b"))) == []
-    assert result(documents((1, "a b")), benchmark_items()) == [(1, 2, 0, [])]
+    assert result(documents((1, "a b")), benchmark_items()) == [(1, 2, 0, [], False)]
 
 
-def test_filter_keeps_columns(documents, benchmark_items):
-    docs = documents((1, "one two three"), (2, None), (3, "two"))
-    kept = d.without_contaminated(docs, benchmark_items((1, "three")))
+@pytest.mark.parametrize("block_strings", [100_000, 1])
+def test_filter_keeps_columns(documents, benchmark_items, block_strings):
+    docs = documents((1, "one two three"), (2, None), (3, "two"), (3, "two"), (4, "four more"), (None, "none five"))
+    kept = d.without_contaminated(docs, benchmark_items((1, "three"), (None, "five"), (2, "four"), (3, None)), block_strings=block_strings)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 3]
+
+
+@pytest.mark.parametrize("block_strings", [100_000, 30])
+def test_matches_sql_with_null_ids(spark, benchmark_items, documents, block_strings, monkeypatch, tmp_path):
+    """The registered query against its SQL, on items without ids among others, in one block and in several."""
+    import duckdb
+
+    from clickloom.llm import queries
+
+    items = [(k if k % 3 else None, f"alpha beta gamma w{k} w{k + 1} delta") for k in range(40)]
+    docs = [(k, f"start alpha beta gamma w{k} w{k + 1} delta then alpha beta gamma w{k + 2} w{k + 3} delta") for k in range(45)] + [(90, None)]
+    documents(*docs).write.parquet(str(tmp_path / "documents.parquet"))
+    benchmark_items(*items).write.parquet(str(tmp_path / "benchmark.parquet"))
+    whole = queries.contamination
+    monkeypatch.setattr(queries, "contamination", lambda a, b: whole(a, b, block_strings=block_strings))
+    got = queries.op1_decontaminate(spark, str(tmp_path))
+    db = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    columns = ", ".join(sorted(got.columns))
+    want = db.sql(f"SELECT {columns} FROM ({queries.ORACLE_SQL['op1_decontaminate']})").fetchall()
+    assert sorted(map(tuple, got.select(*sorted(got.columns)).collect())) == sorted(want)
+    assert any(r.contaminated for r in got.collect())
