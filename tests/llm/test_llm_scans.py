@@ -391,16 +391,44 @@ def test_chunks_count_as_the_whole(chunk, overlap):
         "!?" * 1_500 + " abc" * 900,
         "’s don't we'll \t\n " * 300,
         "",
+        "abc123-def,'s" * 300,
+        "we'll'd''s!'s?'t(x)" * 200,
+        "中文字，没有空格。" * 400,
+        "a1" * 2_000 + "'" * 900 + "s" * 900,
+        "x" * 2_500 + " y" + "z" * 2_500 + "!" + "w" * 1_200,
+        "<|endoftext|>" * 300 + "a<|endoftext|>1" * 90,
+        "١٢٣abcé1ñ2" * 300,
     ]
     assert counter.counts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
 def test_overlaps_widen():
+    """Special tokens end in places that are stable for the pattern alone."""
     counter = token_counts.Counter(TOKENIZER, 200, 16)
-    counter.counts(["word " + "x" * 150 + " word " * 30 + "y" * 1_000 + " end of it" * 50])
+    text = "word " * 20 + "<|endoftext|>" * 60 + " end of it" * 50
+    assert counter.counts([text]) == [len(Tokenizer.from_str(TOKENIZER).encode(text, add_special_tokens=False).ids)]
     assert counter.widened > 0
 
 
+def test_random_texts_in_small_chunks():
+    library = Tokenizer.from_str(TOKENIZER)
+    draw = random.Random(12)
+    pieces = ["a", "the", " ", "  ", "\n", "1", "42", "'s", "'", "!", "..", "é", "中", "。", "_", "<|endoftext|>", "\u00a0", "ß", "x" * 60, "İ", "٣"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randrange(200, 900))) for _ in range(250)]
+    assert token_counts.Counter(TOKENIZER, 120, 16).counts(texts) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@pytest.mark.parametrize("text", ["x" * 1_200_000, "lorem" * 240_000, "ab1-" * 300_000, "y" * 700_000 + " z" + "w" * 500_000])
+def test_texts_without_spaces_take_no_multiple_of_their_time(text):
+    library, counter = Tokenizer.from_str(TOKENIZER), token_counts.Counter(TOKENIZER)
+    start = time.perf_counter()
+    want = len(library.encode(text, add_special_tokens=False).ids)
+    alone = time.perf_counter() - start
+    start = time.perf_counter()
+    assert counter.counts([text]) == [want]
+    assert time.perf_counter() - start < 3 * alone + 1.5
+
+
 def test_other_kinds_are_encoded_whole():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         content = file.read()
