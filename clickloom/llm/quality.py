@@ -1,14 +1,16 @@
 """Quality rules: gradient-boosted trees over document statistics, under fixed base rules.
 
 The statistics of whole texts come from one pass over their bytes. Trees are fitted on a
-bounded sample of labelled documents (at most ``LABELLED``, those with the smallest hashes of
-their ids) and may only move against more symbols, more repeated lines and more repeated
-words. The threshold keeps all but ``MISSED`` of the good documents of held-out folds.
+bounded sample of labelled documents (at most ``LABELLED`` labels, those with the smallest
+hashes of their ids, and at most twice as many rows, should ids repeat) and may only move
+against more symbols, more repeated lines and more repeated words. The threshold keeps all but
+``MISSED`` of the good documents of held-out folds, and is never above one half: what the trees
+take for more likely good than not is kept.
 
 Windows and lines are compared by 64-bit hashes within their document.
 
-Defined cases: a null or empty text has no words and fails the base rules. Rows with equal
-ids are each judged on their own text; a label without a document or without a value is
+Defined cases: a null or empty text has no words and fails the base rules; a very long one is
+read whole. Rows with equal ids are each judged on their own text; a label without a document or without a value is
 left out; a document labelled twice counts twice. With labels of one class only, or none,
 the base rules alone decide. Other columns stay, whatever their names.
 """
