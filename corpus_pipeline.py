@@ -4,6 +4,10 @@ Each stage is a function of (spark, docs, sf_dir). What it returns is written to
 folder and read again as the next one's documents. All but the last return the columns of
 ``documents``; the last returns one row per document with its token ids and the bytes they
 decode to.
+
+Cases that are the same in all stages: other columns stay as they are (but for the last stage,
+which returns none of them), whatever their names; rows with equal ids are judged each on its
+own text; very long texts are worked on whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,27 +32,48 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep."""
+    """The documents that the quality rules keep.
+
+    A null or empty text has no words and goes. A null id is judged like any other, but no label
+    speaks of it. Without labels of both kinds the base rules alone decide. Ties: a text at the
+    threshold stays.
+    """
     return good_documents(docs, _table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier one has; n_chars follows the text."""
+    """All documents, without the lines that an earlier one has; n_chars follows the text.
+
+    A null text becomes an empty one. Earlier is whose id is smaller; rows with equal ids are one
+    document here and keep a line they share, and rows without an id are the last document. A
+    text whose lines all go stays, empty.
+    """
     return without_repeated_lines(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id."""
+    """Of each group of near-duplicates, the document with the smallest id.
+
+    A null or empty text, and a row without an id, is like nothing and stays. Rows that share
+    the smallest id of their group all stay.
+    """
     return without_near_duplicates(docs, percent=NEAR_PERCENT, size=NEAR_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which no test string of the benchmark occurs."""
+    """The documents in which no test string of the benchmark occurs.
+
+    A null or empty text holds none and stays, whatever its id. Items without an id count, items
+    without a text don't; without items all documents stay.
+    """
     return without_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per document: its id, its number of tokens, the packed ids and the text decoded from them."""
+    """One row per document: its id, its number of tokens, the packed ids and the text decoded from them.
+
+    A null or empty text has no tokens and decodes to an empty one; ids may be null or repeat.
+    """
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     done = byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return done.select(
