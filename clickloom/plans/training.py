@@ -20,7 +20,6 @@ from clickloom.operators.ratings import ratings as to_ratings
 from clickloom.operators.scaling import assembler, scaler
 from clickloom.schema import EVENT_WEIGHTS, SEGMENT_FEATURES, TRANSACTION_FEATURES, TRANSACTION_LABEL
 from clickloom.session import ensure_checkpoints
-from clickloom.sources.counts import RowCounts
 from clickloom.sources.model_store import dictionary_path, model_path, save_model
 
 log = logging.getLogger(__name__)
@@ -133,20 +132,18 @@ def train_all(
     """Fit and save every model on its own range of batches; a range without rows is skipped.
 
     ``read_range(first, last)`` gives the events, for instance
-    ``functools.partial(read_batches, spark, path)``. How many events each model was fitted
-    on is logged; the fit itself counts them.
+    ``functools.partial(read_batches, spark, path)``.
     """
     fits = {
         "recommender": lambda events: fit_recommender(to_ratings(events), seed, blocks),
         "transaction_predictor": lambda events: fit_transaction_predictor(transaction_features(events), seed),
         "user_segmentation": lambda events: fit_segments(segment_features(events)),
     }
-    models, counts = {}, RowCounts()
+    models = {}
     for name, (first, last) in ranges.items():
-        models[name] = fits[name](counts.watch(read_range(first, last), name))
+        models[name] = fits[name](read_range(first, last))
         if models[name] is None:
             log.warning("no data for %s in batches %d to %d", name, first, last)
         else:
-            log.info("%s: fitted on %d events of batches %d to %d", name, counts.rows(name), first, last)
             save_model(models[name], model_path(out, name))
     return models

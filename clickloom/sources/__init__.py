@@ -1,4 +1,3 @@
-from clickloom.sources.counts import RowCounts
 from clickloom.sources.csv_events import (
     corrupt_rows,
     load_events_csv,
@@ -11,7 +10,6 @@ from clickloom.sources.messages import decode_events, encode_events, publish_eve
 from clickloom.sources.model_store import load_models, save_model
 
 __all__ = [
-    "RowCounts",
     "corrupt_rows",
     "decode_events",
     "encode_events",

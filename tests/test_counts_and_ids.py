@@ -1,8 +1,6 @@
-"""Counts without jobs of their own, stopping when idle, corrupt lines, and ids of any type."""
+"""Counts of micro-batches, stopping when idle, corrupt lines, and ids of any type."""
 
-import logging
 import time
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,60 +10,6 @@ from clickloom import plans, sources, streaming
 from clickloom.schema import EVENT_COLUMNS, EVENT_SCHEMA
 
 
-def jobs(spark, action):
-    """How many jobs an action starts."""
-    group = uuid.uuid4().hex
-    spark.sparkContext.setJobGroup(group, "counted")
-    try:
-        action()
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
-
-
-def test_counts_start_no_jobs(spark, numbered_log, tmp_path):
-    path = str(tmp_path / "log")
-    numbered_log(500).write.parquet(path)
-    counts = sources.RowCounts()
-    log = spark.read.parquet(path)
-    watched = counts.watch(log, "loaded")
-
-    def work(df, name):
-        ops.segment_features(df).write.parquet(str(tmp_path / name))
-
-    plain = jobs(spark, lambda: work(log, "plain"))
-    assert jobs(spark, lambda: work(watched, "watched")) == plain
-    assert jobs(spark, lambda: counts.rows("loaded")) == 0
-    assert counts.rows("loaded") == 500
-    with pytest.raises(ValueError, match="watched already"):
-        counts.watch(log, "loaded")
-
-
-def test_training_tells_how_many_events_it_had(spark, events, tmp_path, caplog, monkeypatch):
-    log = events(*((n, n % 9, ("view", "addtocart", "transaction")[n % 3], n % 7) for n in range(200)))
-    path = str(tmp_path / "log")
-    log.write.parquet(path)
-    ranges = {"user_segmentation": (1, 3), "recommender": (1, 3)}
-
-    def train(out):
-        plans.train_all(lambda first, last: spark.read.schema(EVENT_SCHEMA).parquet(path), str(tmp_path / out), ranges)
-
-    with caplog.at_level(logging.INFO, "clickloom"):
-        with_counts = jobs(spark, lambda: train("a"))
-    told = [r.getMessage() for r in caplog.records if "fitted on" in r.getMessage()]
-    assert [t.split(":")[0] for t in told] == list(ranges) and all("on 200 events" in t for t in told)
-
-    class Silent:
-        def watch(self, df, name):
-            return df
-
-        def rows(self, name):
-            return 0
-
-    monkeypatch.setattr("clickloom.plans.training.RowCounts", Silent)
-    assert jobs(spark, lambda: train("b")) == with_counts
-
-
 @pytest.fixture
 def arrived(spark, numbered_log, tmp_path):
     """Messages in a folder, and a stream of them."""
