@@ -255,6 +255,67 @@ ORACLE_SQL = {
           SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
                  doc_id, score FROM scored WHERE score > 0)
         SELECT * FROM ranked WHERE rank <= 20""",
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE table_of AS (
+          SELECT list(c ORDER BY i) AS t
+          FROM (SELECT i, list_reduce(range(8), lambda acc, k: CASE WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END, i) AS c
+                FROM range(256) r(i))),
+        harmed AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                                                lambda x: ord(x)::BIGINT),
+                                 lambda acc, b: xor(t[CAST(xor(acc, b) & 255 AS BIGINT) + 1], acc // 256), 4294967295), 4294967295) % 20 AS harm
+          FROM conversations, table_of),
+        damaged AS (
+          SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+                 CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                 unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS copy
+          FROM harmed WHERE harm <> 0),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+                 rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+        told AS (
+          SELECT conv_id, i, turn, role, text, left(role, 1) AS initial, bare = '' AS blank,
+                 bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+                 right(bare, 1) NOT IN ('.', '!', '?') AS open,
+                 lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+        counted AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                 count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (open AND NOT blank AND NOT duplicate) AS truncated,
+                 count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+          FROM told GROUP BY conv_id),
+        ways AS (
+          SELECT conv_id, 0::BIGINT AS i, 0 AS q, {'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best FROM counted
+          UNION ALL
+          SELECT conv_id, i, q, min(best) FROM (
+            SELECT e.conv_id, e.i, e.q2 AS q, {'cost': e.best.cost + 2 * e.inserts + e.more, 'audit': e.best.audit || repeat('I', e.inserts) || e.letter,
+                   'lines': list_concat(list_concat(e.best.lines, e.made[: e.inserts]), e.line)} AS best
+            FROM (
+              SELECT w.conv_id, r.i, w.best, w.inserts, w.made, x.o.letter AS letter, x.o.more AS more, x.o.q2 AS q2, x.o.line AS line
+              FROM (
+                SELECT conv_id, i, best, inserts, [CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END, CASE WHEN q = 2 THEN 'user:' ELSE 'assistant:' END] AS made,
+                       CASE WHEN inserts = 0 THEN q WHEN inserts = 1 THEN CASE WHEN q = 2 THEN 3 ELSE 2 END ELSE CASE WHEN q = 2 THEN 2 ELSE 3 END END AS s
+                FROM (SELECT *, unnest([0, 1, 2]) AS inserts FROM ways)) w
+              JOIN told r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1,
+              LATERAL (SELECT unnest([
+                {'letter': 'D', 'more': 3, 'q2': w.s, 'line': CAST([] AS VARCHAR[])},
+                {'letter': 'K', 'more': CAST(r.open AS INTEGER), 'line': [r.role || ':' || r.text],
+                 'q2': CASE WHEN r.blank OR r.duplicate THEN -1 WHEN r.initial = 's' AND w.s = 0 THEN 1 WHEN r.initial = 'u' AND w.s <> 2 THEN 2
+                            WHEN r.initial = 'a' AND w.s = 2 THEN 3 ELSE -1 END},
+                {'letter': 'R', 'more': 2 + CAST(r.open AS INTEGER), 'line': [CASE WHEN w.s = 2 THEN 'assistant:' ELSE 'user:' END || r.text],
+                 'q2': CASE WHEN r.blank OR r.duplicate THEN -1 WHEN w.s = 2 THEN 3 ELSE 2 END}]) AS o) x
+              WHERE x.o.q2 >= 0) e)
+          GROUP BY conv_id, i, q),
+        ended AS (
+          SELECT w.conv_id, min({'cost': best.cost + CASE q WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 0 END,
+                                 'audit': best.audit || CASE q WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+                                 'lines': list_concat(best.lines, CASE q WHEN 1 THEN ['user:', 'assistant:'] WHEN 2 THEN ['assistant:'] ELSE CAST([] AS VARCHAR[]) END)}) AS best
+          FROM ways w JOIN counted c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = c.n GROUP BY w.conv_id)
+        SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) k
+        LEFT JOIN counted c ON k.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON k.conv_id IS NOT DISTINCT FROM e.conv_id""",
     "op3_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, pos, line,

@@ -9,7 +9,7 @@ import corpus_pipeline
 from clickloom.llm.queries import ORACLE_SQL, QUERIES
 
 TESTDATA = "/root/testdata"
-TABLES = ("documents", "benchmark", "labels")
+TABLES = ("documents", "benchmark", "labels", "conversations")
 
 
 def frozen(row):
