@@ -55,7 +55,6 @@ def rank_items(
     no visitor has a row. ``met`` is given the number of pairs of a visitor and a block of items
     that are scored, and of those there are.
     """
-    spark = visitors.sparkSession
     count, n_items = visitors.count(), items.count()
     n_visitors = max(1, -(-count // visitors_per_block))
     blocked = _by_length(items, items_per_block) if n_items > items_per_block else items.withColumn("item_block", F.lit(0))
@@ -68,11 +67,9 @@ def rank_items(
     if n_blocks < 2:
         return best
 
-    path = scratch_path(spark, "ranked")
-    best.write.parquet(path)
-    best = spark.read.parquet(path)
+    best = _written(best, "ranked")
     longest = blocked.groupBy("item_block").agg(F.max("_length").alias("most")).orderBy("item_block").collect()
-    wanted = _wanted(rows.join(best, "id"), [r["most"] for r in longest], k)
+    wanted = _written(_wanted(rows.join(best, "id"), [r["most"] for r in longest], k), "wanted")
     if met is not None:
         met["scored"] += wanted.agg(F.sum(F.col("_blocks") - 1)).first()[0]
         log.info("ranking: %(scored)d of %(all)d pairs of visitors and blocks of items are scored", met)
@@ -81,18 +78,28 @@ def rank_items(
     return _merged(best.unionByName(more).select("id", "ranked"), k)
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows, written once and read again.
+
+    What ``_wanted`` adds must not be filtered above its join: where attributes have small ids, as
+    in a session's first query, the optimizer takes some for variables of the lambda functions and
+    moves the filter to the side that lacks them.
+    """
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def _length() -> Column:
     return F.sqrt(F.aggregate("features", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
 
 
 def _by_length(items: DataFrame, items_per_block: int) -> DataFrame:
     """The items in blocks by falling length of their factors, written once."""
-    spark = items.sparkSession
-    path = scratch_path(spark, "items")
     keyed = items.select("id", "features", (-_length()).alias("_order"), F.xxhash64("id").alias("_tie"))
     ordered = assign_batches(keyed, ["_order", "_tie"], items_per_block)
-    ordered.select("id", "features", (-F.col("_order")).alias("_length"), (F.col("batch_no") - 1).cast("int").alias("item_block")).write.parquet(path)
-    return spark.read.parquet(path)
+    blocked = ordered.select("id", "features", (-F.col("_order")).alias("_length"), (F.col("batch_no") - 1).cast("int").alias("item_block"))
+    return _written(blocked, "items")
 
 
 def _wanted(ranked: DataFrame, longest: list[float], k: int) -> DataFrame:

@@ -1,8 +1,14 @@
 """Pruned ranking and struck pairs against every score computed."""
 
+import subprocess
+import sys
+from pathlib import Path
+
+import duckdb
 import numpy as np
 import pytest
 
+import __spark_entry__ as entry_module
 from clickloom import operators as ops
 from clickloom import plans
 
@@ -86,3 +92,30 @@ def test_recommending_leaves_out_what_was_seen(spark, events):
         own = {i for v, i in had if v == int(row.visitorid)}
         assert own and {x.itemid for x in row.recommendations} == every - own
         assert [x.itemid for x in row.recommendations] == [i for i in plain[row.visitorid] if i not in own]
+
+
+FRESH = """
+import sys
+from clickloom.session import get_session
+import __spark_entry__ as entry
+
+spark = get_session(
+    "fresh", **{"spark.master": "local[2]", "spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false", "spark.checkpoint.dir": sys.argv[2]}
+)
+entry.rank_unseen(spark, sys.argv[1]).write.parquet(sys.argv[3])
+"""
+
+
+def test_a_sessions_first_query_ranks(tmp_path):
+    """In a process of its own, as attributes have small ids only there."""
+    db = duckdb.connect()
+    events = tmp_path / "events.parquet"
+    db.sql(f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, i % 23 AS user_id,
+               CASE i % 5 WHEN 0 THEN 'purchase' WHEN 1 THEN 'click' ELSE 'view' END AS event_type, 1.5::DOUBLE AS value,
+               '{{"k": ' || (i * i + i // 7) % 61 || '}}' AS props FROM range(900) r(i)) TO '{events}' (FORMAT parquet)""")
+    args = [tmp_path, tmp_path / "shared", tmp_path / "ranked"]
+    subprocess.run([sys.executable, "-c", FRESH, *map(str, args)], cwd=Path(__file__).parents[1], check=True, timeout=240)
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{events}'")
+    want = db.sql(f"SELECT visitorid, itemid, rating FROM ({entry_module.oracle_sql()['rank_unseen']})").fetchall()
+    got = db.sql(f"SELECT visitorid, itemid, rating FROM '{args[2]}/*.parquet'").fetchall()
+    assert len(want) > 200 and sorted(got) == sorted(want)
