@@ -400,6 +400,30 @@ def test_chain_of_overlapping_spans(documents, monkeypatch):
     assert [(s.start, s.end, s.kind) for s in row.spans] == [(0, 6, "likely"), (8, 14, "likely")]
 
 
+def test_trees_learn_from_every_candidate(documents, monkeypatch):
+    """All different values are respelled, and all others count, however many are alike."""
+    from pyspark.sql import functions as F
+
+    docs = documents(*((k, f"write to a{k}@mail.example or so, {k + 10**7}x and {k + 10**7}x") for k in range(600)))
+    seen = {}
+    shown, alike = personal_data._shown, personal_data._alike
+
+    def watched(rows):
+        seen["values"] = rows.count()
+        return shown(rows)
+
+    def counted(rows):
+        seen["others"] = rows.filter("order IS NULL").agg(F.sum("n")).first()[0]
+        kept = alike(rows)
+        seen["rows"], seen["kept"] = rows.agg(F.sum("n")).first()[0], kept.agg(F.sum("n")).first()[0]
+        return kept
+
+    monkeypatch.setattr(personal_data, "_shown", watched)
+    monkeypatch.setattr(personal_data, "_alike", counted)
+    assert personal_data.train_personal_data(docs) is not None
+    assert seen["values"] == 600 and seen["others"] >= 1200 and seen["rows"] == seen["kept"]
+
+
 def test_no_personal_data(documents):
     docs = documents((1, "nothing of the kind"), (2, None))
     assert personal_data.train_personal_data(docs) is None
